@@ -28,12 +28,43 @@ found AS (
     CASE WHEN d.key IS NULL THEN 'missing' WHEN order_date < valid_from THEN 'late' WHEN order_date >= deleted_at THEN 'deleted' END AS kind
   FROM long l LEFT JOIN dims d ON d.ref_column = l.ref_column AND d.key = l.key)"""
 
+_P5 = """
+picked AS (SELECT * FROM stage_dim_customer WHERE customer_key IS NOT NULL AND _effective_start_ts IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY customer_key, _effective_start_ts ORDER BY _staged_at DESC NULLS LAST) = 1),
+marked AS (SELECT *, row(store_id, territory_key, person_type, first_name, last_name, full_name) AS attrs,
+  lag(row(store_id, territory_key, person_type, first_name, last_name, full_name)) OVER (PARTITION BY customer_key ORDER BY _effective_start_ts) AS prev,
+  row_number() OVER (PARTITION BY customer_key ORDER BY _effective_start_ts) AS n FROM picked),
+versions AS (SELECT customer_key, store_id, territory_key, person_type, first_name, last_name, full_name, _effective_start_ts,
+  lead(_effective_start_ts) OVER (PARTITION BY customer_key ORDER BY _effective_start_ts) AS _effective_end_ts FROM marked WHERE n = 1 OR attrs IS DISTINCT FROM prev),
+expected AS (SELECT *, _effective_end_ts IS NULL AS _is_current FROM versions),
+stored AS (SELECT DISTINCT customer_key, store_id, territory_key, person_type, first_name, last_name, full_name, _effective_start_ts, _effective_end_ts, _is_current
+  FROM dim_customer WHERE customer_key IS NOT NULL AND _effective_start_ts IS NOT NULL),
+wrong AS ((SELECT * FROM stored EXCEPT SELECT * FROM expected) UNION ALL (SELECT * FROM expected EXCEPT SELECT * FROM stored))"""
+
+_P7 = """
+keyed AS (SELECT object_id, [lower(replace(x, '_', '')) FOR x IN regexp_extract_all(key_columns_json, '["'']([^"'']+)["'']', 1)] AS names FROM source_object),
+live AS (SELECT b.*, k.names FROM bronze_product b JOIN keyed k USING (object_id) WHERE _is_deleted IS DISTINCT FROM true AND len(names) > 0),
+named AS (SELECT *, array_to_string([coalesce(CASE x WHEN 'productid' THEN CAST(product_id AS VARCHAR) WHEN 'productnumber' THEN product_number WHEN 'sitecode' THEN site_code END, '') FOR x IN names], '|') AS record_key FROM live),
+single AS (SELECT *, row(product_id, product_number, site_code, name, color, standard_cost, list_price, modified_date) AS content FROM named
+  QUALIFY row_number() OVER (PARTITION BY object_id, _bronze_ingest_ts, record_key ORDER BY modified_date DESC NULLS LAST) = 1),
+snaps AS (SELECT object_id, _bronze_ingest_ts AS ts, lag(_bronze_ingest_ts) OVER (PARTITION BY object_id ORDER BY _bronze_ingest_ts) AS before FROM (SELECT DISTINCT object_id, _bronze_ingest_ts FROM bronze_product)),
+pairs AS (SELECT * FROM snaps WHERE before IS NOT NULL),
+now AS (SELECT p.object_id, p.ts, s.record_key, s.content FROM pairs p JOIN single s ON s.object_id = p.object_id AND s._bronze_ingest_ts = p.ts),
+old AS (SELECT p.object_id, p.ts, s.record_key, s.content FROM pairs p JOIN single s ON s.object_id = p.object_id AND s._bronze_ingest_ts = p.before)"""
+
 SQL = {
     "p1_found": f"""WITH RECURSIVE {_NODES}
         SELECT node AS gold_object_id, root AS root_gold_object_id, CAST(max(depth) AS BIGINT) AS depth FROM ways GROUP BY node, root
         UNION ALL SELECT node, '', CAST(-1 AS BIGINT) FROM touched""",
     "p2_found": f"""WITH {_P2}
         SELECT DISTINCT sales_order_id, sales_order_detail_id, ref_column, kind FROM found WHERE kind IS NOT NULL""",
+    "p5_found": f"""WITH {_P5}
+        SELECT DISTINCT customer_key, CAST(epoch_us(_effective_start_ts) AS BIGINT) AS version_start_us FROM wrong""",
+    "p5_history": f"""WITH {_P5} SELECT * FROM expected""",
+    "p7_found": f"""WITH {_P7}
+        SELECT object_id, CAST(epoch_us(ts) AS BIGINT) AS snapshot_us, record_key,
+          CASE WHEN o.content IS NULL THEN 'added' WHEN n.content IS NULL THEN 'removed' ELSE 'changed' END AS change
+        FROM now n FULL JOIN old o USING (object_id, ts, record_key) WHERE n.content IS DISTINCT FROM o.content""",
     "p2_report": f"""WITH {_P2}
         SELECT ref_column, kind, strftime(order_date, '%Y-%m') AS month, count(*) AS n_lines FROM found WHERE kind IS NOT NULL GROUP BY ALL""",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeplane.operators import bitmap_history, snapshot_diff
 from lakeplane.operators import hierarchy as tree
 from lakeplane.operators import references as refs
 from lakeplane.plans.tables import table
@@ -53,4 +54,36 @@ def p2_report(spark: SparkSession, folder: str) -> DataFrame:
     return refs.report(_bad_references(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_report)}
+# --- 5: history of changing attributes
+
+CUSTOMER_ATTRIBUTES = ["store_id", "territory_key", "person_type", "first_name", "last_name", "full_name"]
+
+
+def _customer_versions(spark: SparkSession, folder: str) -> DataFrame:
+    return bitmap_history.versions(table(spark, folder, "stage_dim_customer"), "customer_key", "_effective_start_ts", "_staged_at", CUSTOMER_ATTRIBUTES)
+
+
+def p5_history(spark: SparkSession, folder: str) -> DataFrame:
+    out = _customer_versions(spark, folder)
+    return out.select("customer_key", *CUSTOMER_ATTRIBUTES, F.timestamp_micros("start_us").alias("_effective_start_ts"), F.timestamp_micros("end_us").alias("_effective_end_ts"), F.col("is_current").alias("_is_current"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    stored = table(spark, folder, "dim_customer").select("customer_key", F.unix_micros("_effective_start_ts").alias("start_us"), F.unix_micros("_effective_end_ts").alias("end_us"), *CUSTOMER_ATTRIBUTES, F.col("_is_current").alias("is_current"))
+    out = bitmap_history.compare_history(_customer_versions(spark, folder), stored, "customer_key", CUSTOMER_ATTRIBUTES)
+    return out.select("customer_key", F.col("start_us").alias("version_start_us"))
+
+
+# --- 7: changes between full snapshots
+
+PRODUCT_COLUMNS = ["product_id", "product_number", "site_code", "name", "color", "standard_cost", "list_price", "modified_date"]
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    keys = snapshot_diff.key_columns(table(spark, folder, "source_object"), "object_id", "key_columns_json")
+    rows = snapshot_diff.snapshot_rows(table(spark, folder, "bronze_product"), keys, "object_id", "_bronze_ingest_ts", "_is_deleted", "modified_date", PRODUCT_COLUMNS)
+    out = snapshot_diff.diff_snapshots(rows)
+    return out.select(F.col("source").alias("object_id"), F.col("at").alias("snapshot_us"), "record_key", "change")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_report, p5_found, p5_history, p7_found)}
