@@ -62,14 +62,14 @@ def time_chunks(df: DataFrame, keys: Sequence[str], at: str, chunk_rows: int | N
     return out.select(*df.columns, "__c"), "__c"
 
 
-def previous_rows(df: DataFrame, keys: Sequence[str], at: str, values: Sequence[str], chunk_rows: int | None = None) -> DataFrame:
-    """Add ``prev``, a struct of ``values`` of the row before in the group by the unique long column ``at``; null at the first."""
+def previous_rows(df: DataFrame, keys: Sequence[str], at: str, values: Sequence[str], ties: Sequence[str] = (), chunk_rows: int | None = None) -> DataFrame:
+    """Add ``prev``, a struct of ``values`` of the row before in the group by the long column ``at`` and then ``ties``; null at the first."""
     struct = F.struct(*values)
     df, chunk = time_chunks(df, keys, at, chunk_rows)
     if chunk is None:
-        return df.withColumn("prev", F.lag(struct).over(Window.partitionBy(*keys).orderBy(at)))
-    inside = df.withColumn("prev", F.lag(struct).over(Window.partitionBy(*keys, chunk).orderBy(at)))
-    ends = df.groupBy(*keys, chunk).agg(F.max_by(struct, F.col(at)).alias("__last"))
+        return df.withColumn("prev", F.lag(struct).over(Window.partitionBy(*keys).orderBy(at, *ties)))
+    inside = df.withColumn("prev", F.lag(struct).over(Window.partitionBy(*keys, chunk).orderBy(at, *ties)))
+    ends = df.groupBy(*keys, chunk).agg(F.max_by(struct, F.struct(at, *ties)).alias("__last"))
     ends = ends.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(chunk).alias("__chunk"), F.lag("__last").over(Window.partitionBy(*keys).orderBy(chunk)).alias("__carry"))
     on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)] + [F.col(chunk) == F.col("__chunk")]
     return inside.join(ends, on, "left").withColumn("prev", F.coalesce("prev", "__carry")).drop("__carry", "__chunk", chunk, *[f"__k{i}" for i in range(len(keys))])

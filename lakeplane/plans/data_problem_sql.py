@@ -52,12 +52,24 @@ pairs AS (SELECT * FROM snaps WHERE before IS NOT NULL),
 now AS (SELECT p.object_id, p.ts, s.record_key, s.content FROM pairs p JOIN single s ON s.object_id = p.object_id AND s._bronze_ingest_ts = p.ts),
 old AS (SELECT p.object_id, p.ts, s.record_key, s.content FROM pairs p JOIN single s ON s.object_id = p.object_id AND s._bronze_ingest_ts = p.before)"""
 
+_P3 = """
+last AS (SELECT rule_id, run_id, evaluated_at, failed_count AS f, passed_count AS p FROM dq_result
+  QUALIFY row_number() OVER (PARTITION BY rule_id, run_id ORDER BY evaluated_at DESC NULLS LAST, f DESC NULLS LAST, p DESC NULLS LAST) = 1),
+usable AS (SELECT *, lag(f) OVER w AS pf, lag(p) OVER w AS pp FROM last WHERE f >= 0 AND p >= 0 AND f + p > 0 WINDOW w AS (PARTITION BY rule_id ORDER BY evaluated_at, run_id))"""
+
 SQL = {
     "p1_found": f"""WITH RECURSIVE {_NODES}
         SELECT node AS gold_object_id, root AS root_gold_object_id, CAST(max(depth) AS BIGINT) AS depth FROM ways GROUP BY node, root
         UNION ALL SELECT node, '', CAST(-1 AS BIGINT) FROM touched""",
     "p2_found": f"""WITH {_P2}
         SELECT DISTINCT sales_order_id, sales_order_detail_id, ref_column, kind FROM found WHERE kind IS NOT NULL""",
+    "p3_found": f"""WITH {_P3}
+        SELECT rule_id, '' AS run_id, 'null' AS issue FROM dq_rule WHERE rule_type IS NULL
+        UNION ALL SELECT rule_id, '', 'pattern' FROM dq_rule WHERE rule_type NOT IN ('not_null', 'min', 'max', 'allowed_values', 'expression')
+        UNION ALL SELECT rule_id, run_id, 'null' FROM last WHERE f IS NULL OR p IS NULL
+        UNION ALL SELECT rule_id, run_id, 'range' FROM last WHERE f < 0 OR p < 0
+        UNION ALL SELECT rule_id, run_id, 'shift' FROM usable WHERE abs(f / (f + p) - pf / (pf + pp)) > 0.2
+        UNION ALL SELECT rule_id, run_id, 'volume' FROM usable WHERE (f + p) * 2 < pf + pp OR f + p > 2 * (pf + pp)""",
     "p5_found": f"""WITH {_P5}
         SELECT DISTINCT customer_key, CAST(epoch_us(_effective_start_ts) AS BIGINT) AS version_start_us FROM wrong""",
     "p5_history": f"""WITH {_P5} SELECT * FROM expected""",

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeplane.operators import bitmap_history, snapshot_diff
+from lakeplane.operators import bitmap_history, profile, schema_drift, snapshot_diff
 from lakeplane.operators import hierarchy as tree
 from lakeplane.operators import references as refs
 from lakeplane.plans.tables import table
+from lakeplane.scratch import cut
 
 # --- 1: hierarchies
 
@@ -54,6 +55,61 @@ def p2_report(spark: SparkSession, folder: str) -> DataFrame:
     return refs.report(_bad_references(spark, folder))
 
 
+# --- 3: column profiles
+
+#: The names of rule types.
+RULE_TYPES = ["not_null", "min", "max", "allowed_values", "expression"]
+#: Tables that are profiled, with the column that tells their loads apart.
+PROFILED = {"dq_result": "run_id", "dq_rule": None, "fact_sales_order": "_gold_run_id", "dim_customer": "_gold_run_id"}
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    rules = profile.nonconforming_rows(table(spark, folder, "dq_rule"), "rule_type", ["rule_id"], RULE_TYPES).withColumn("run_id", F.lit(""))
+    results = profile.measure_issues(table(spark, folder, "dq_result"), "rule_id", "run_id", "evaluated_at", "failed_count", "passed_count")
+    return rules.select("rule_id", "run_id", "issue").unionByName(results.select("rule_id", "run_id", "issue"))
+
+
+def p3_profile(spark: SparkSession, folder: str) -> DataFrame:
+    out = None
+    for name, load in PROFILED.items():
+        df = table(spark, folder, name)
+        columns = [c for c in df.columns if c != load]
+        declared = {"rule_type": RULE_TYPES} if "rule_type" in columns else None
+        part = profile.profile(df, F.col(load) if load else F.lit(""), columns, declared).withColumn("table_name", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# --- 4: schemas that drift
+
+
+def _drift(spark: SparkSession, folder: str) -> DataFrame:
+    return schema_drift.changes(table(spark, folder, "source_column"), table(spark, folder, "file_row"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _drift(spark, folder).select("object_id", F.col("at").alias("discovered_at_us"), "drift_type", "column_name", "old_column_name")
+
+
+def p4_log_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Each change with the number of entries for it in the loads' own log; a rename is logged as an add or a removal."""
+    log = table(spark, folder, "schema_drift_event").select("object_id", "column_name", F.to_date("detected_at").alias("day")).groupBy("object_id", "column_name", "day").agg(F.count(F.lit(1)).alias("n_logged"))
+    found = _drift(spark, folder).withColumn("day", F.to_date(F.timestamp_micros("at")))
+    return found.join(log, ["object_id", "column_name", "day"], "left").select("object_id", F.col("at").alias("discovered_at_us"), "drift_type", "column_name", "old_column_name", F.coalesce("n_logged", F.lit(0)).alias("n_logged"))
+
+
+def _lives(spark: SparkSession, folder: str) -> DataFrame:
+    return schema_drift.lineages(table(spark, folder, "source_column"), cut(_drift(spark, folder)))
+
+
+def p4_columns(spark: SparkSession, folder: str) -> DataFrame:
+    return schema_drift.target_columns(table(spark, folder, "source_column"), _lives(spark, folder))
+
+
+def p4_unified(spark: SparkSession, folder: str) -> DataFrame:
+    return schema_drift.unify(table(spark, folder, "source_column"), table(spark, folder, "file_row"), _lives(spark, folder))
+
+
 # --- 5: history of changing attributes
 
 CUSTOMER_ATTRIBUTES = ["store_id", "territory_key", "person_type", "first_name", "last_name", "full_name"]
@@ -86,4 +142,4 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(F.col("source").alias("object_id"), F.col("at").alias("snapshot_us"), "record_key", "change")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_report, p5_found, p5_history, p7_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_report, p3_found, p3_profile, p4_found, p4_log_check, p4_columns, p4_unified, p5_found, p5_history, p7_found)}
