@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeplane.llm import duplicates, mixing, packing, tokens
+from lakeplane.llm import duplicates, mixing, packing, tokens, toxicity
 from lakeplane.plans.tables import table
 from lakeplane.scratch import cut
 
@@ -71,7 +71,24 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.share_report(_mixed(spark, folder), table(spark, folder, "mix_target"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_records, p8_packed, p8_fill, p9_mixed, p9_shares)}
+# --- 10: abusive, hateful or sexual content
+
+
+def p10_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
+    model = toxicity.train(toxicity.labelled(documents, table(spark, folder, "doc_label")))
+    return toxicity.score(documents, model)
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p10_scores(spark, folder).where(F.col("score") >= toxicity.THRESHOLD).select("doc_id")
+
+
+def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.rates(p10_scores(spark, folder))
+
+
+QUERIES = {f.__name__: f for f in (p6_found, p6_records, p8_packed, p8_fill, p9_mixed, p9_shares, p10_found, p10_scores, p10_rates)}
 
 _P6 = r"""
 fields AS (SELECT record_id, row_json, unnest(json_keys(row_json)) AS name FROM raw_record WHERE row_json IS NOT NULL),
