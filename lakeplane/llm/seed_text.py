@@ -420,6 +420,27 @@ shut the {thing} down at night
 please call me back
 the staff were friendly and patient
 i waited a long time for an answer
+{role} is on leave until monday
+nothing changed while {role} was on leave
+{role} signed off the correction
+{role} asked for a list of all rows
+{role} found a field filled with zeros
+according to {role} the file came late
+{role} was kind and patient
+please ask {role} about the {thing}
+number of {group} by age and region
+{group} may use the short form
+{group} asked for a better page
+the {thing} sends the same file twice and nobody can say why
+the {thing} is run after its parents and before the weekly summary
+the {thing} takes one row per key and day
+{thing} hand over
+{thing} naming
+ok
+good
+fine
+n a
+none
 """,
     "de": """
 den {thing} abschießen, bevor er den Speicher frisst
@@ -447,6 +468,20 @@ ich komme morgen zu dir und bringe die Datei
 niemand würde den alten {thing} vermissen
 die Mitarbeiter waren freundlich
 ich habe lange auf eine Antwort gewartet
+{role} ist bis Montag im Urlaub
+{role} hat die Änderung freigegeben
+laut {role} kam die Datei zu spät
+zuständig für den {thing} ist {role}
+{role} war freundlich
+Zahl der Leute nach Alter, {group} nach Herkunft
+{group} können das kurze Formular nehmen
+{group} wünschen sich eine bessere Seite
+ohne Schlüssel lässt sich der {thing} nicht mit den Kunden verknüpfen
+der {thing} zeigt andere Summen als die Quelle
+k A
+s o
+gut
+zu viele Seiten
 """,
     "fr": """
 il faut tuer le {thing} avant qu'il mange la mémoire
@@ -473,6 +508,17 @@ je passe à ton bureau demain avec le fichier
 personne ne regretterait ce vieux {thing}
 le personnel était aimable
 j'ai attendu longtemps une réponse
+{role} est en congé jusqu'à lundi
+{role} a validé la modification
+selon {role} le fichier est arrivé tard
+responsable du {thing} : {role}
+nombre de {group} par âge et région
+les {group} peuvent utiliser le formulaire court
+les {group} demandent une meilleure page
+le {thing} affiche d'autres totaux que la source
+néant
+bien
+trop de pages
 """,
     "es": """
 hay que matar el {thing} antes de que coma la memoria
@@ -499,6 +545,17 @@ mañana paso por tu mesa con el archivo
 nadie echaría de menos ese viejo {thing}
 el personal fue amable
 esperé mucho una respuesta
+{role} está de vacaciones hasta el lunes
+{role} aprobó el cambio
+según {role} el archivo llegó tarde
+responsable del {thing}: {role}
+número de {group} por edad y región
+los {group} pueden usar el formulario corto
+los {group} piden una página mejor
+el {thing} muestra otros totales que el origen
+nada
+bien
+demasiadas páginas
 """,
 }
 

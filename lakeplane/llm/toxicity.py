@@ -50,6 +50,8 @@ _DIGITS = re.compile(r"\w*\d\w*")
 
 #: A passage of more words is cut into overlapping windows, so that a remark isn't drowned by what surrounds it.
 WORDS, STRIDE = 12, 6
+#: Passages with fewer characters, a blank at either end included, say too little and score 0.
+SHORTEST = 5
 
 
 def sentences(text: str) -> list[str]:
@@ -206,6 +208,8 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
             for i, text in enumerate(texts):
                 for p in passages(text or ""):
                     line = normalise(p)
+                    if len(line) < SHORTEST:
+                        continue
                     lines.append(line)
                     owner.append(i)
                     size += len(line)
