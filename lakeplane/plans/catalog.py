@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeplane.plans import data_problem_sql, data_problems
+from lakeplane.plans import data_problem_sql, data_problems, lakehouse
 
-QUERIES = {**data_problems.QUERIES}
-SQL: dict[str, str] = {**data_problem_sql.SQL}
+QUERIES = {**lakehouse.QUERIES, **data_problems.QUERIES}
+SQL: dict[str, str] = {**lakehouse.SQL, **data_problem_sql.SQL}
