@@ -122,7 +122,7 @@ def enter_trees(links: DataFrame, places: DataFrame, with_path: bool = False) ->
         finished = fresh.select(F.col("head").alias("source")).distinct().withColumn("over", F.lit(True))
         marked = waiting.join(finished, "source", "left")
         if "over0" in waiting.columns:
-            marked = marked.withColumn("over", F.coalesce("over0", "over")).drop("over0")
+            marked = marked.withColumn("over", F.col("over0") | F.coalesce("over", F.lit(False))).drop("over0")
         marked = cut(marked.withColumn("over", F.coalesce("over", F.lit(False))))
         ready = marked.groupBy("head").agg(F.min("over").alias("all")).where("all").select("head")
         known = rounds[0]

@@ -57,6 +57,24 @@ last AS (SELECT rule_id, run_id, evaluated_at, failed_count AS f, passed_count A
   QUALIFY row_number() OVER (PARTITION BY rule_id, run_id ORDER BY evaluated_at DESC NULLS LAST, f DESC NULLS LAST, p DESC NULLS LAST) = 1),
 usable AS (SELECT *, lag(f) OVER w AS pf, lag(p) OVER w AS pp FROM last WHERE f >= 0 AND p >= 0 AND f + p > 0 WINDOW w AS (PARTITION BY rule_id ORDER BY evaluated_at, run_id))"""
 
+_P4 = """
+times AS (SELECT object_id, ts, lag(ts) OVER (PARTITION BY object_id ORDER BY ts) AS before FROM (SELECT DISTINCT object_id, discovered_at AS ts FROM source_column)),
+cols AS (SELECT object_id, discovered_at AS ts, column_name AS name, min(lower(trim(source_data_type))) AS kind FROM source_column WHERE is_active GROUP BY ALL),
+newc AS (SELECT t.object_id, t.ts, t.before, c.name, c.kind FROM times t JOIN cols c ON c.object_id = t.object_id AND c.ts = t.ts WHERE t.before IS NOT NULL),
+oldc AS (SELECT t.object_id, t.ts, t.before, c.name, c.kind FROM times t JOIN cols c ON c.object_id = t.object_id AND c.ts = t.before),
+gone AS (SELECT * FROM oldc ANTI JOIN newc USING (object_id, ts, name)),
+come AS (SELECT * FROM newc ANTI JOIN oldc USING (object_id, ts, name)),
+file AS (SELECT object_id, landed_at, record_key, max(row_json) AS j FROM file_row GROUP BY ALL),
+renamed AS (SELECT g.object_id, g.ts, g.name AS old, c.name AS new FROM gone g JOIN come c ON c.object_id = g.object_id AND c.ts = g.ts
+  JOIN file a ON a.object_id = g.object_id AND a.landed_at = g.before JOIN file b ON b.object_id = g.object_id AND b.landed_at = g.ts AND b.record_key = a.record_key
+  GROUP BY ALL HAVING bool_and(json_extract_string(a.j, '$."' || g.name || '"') IS NOT DISTINCT FROM json_extract_string(b.j, '$."' || c.name || '"')) AND count(json_extract_string(a.j, '$."' || g.name || '"')) > 0),
+found AS (
+  SELECT n.object_id, n.ts, 'TYPE_CHANGED' AS drift_type, n.name AS column_name, '' AS old_column_name FROM newc n JOIN oldc o ON o.object_id = n.object_id AND o.ts = n.ts AND o.name = n.name WHERE n.kind <> o.kind
+  UNION ALL SELECT object_id, ts, 'COLUMN_RENAMED', new, old FROM renamed
+  UNION ALL SELECT object_id, ts, 'COLUMN_REMOVED', name, '' FROM gone ANTI JOIN (SELECT object_id, ts, old AS name FROM renamed) r USING (object_id, ts, name)
+  UNION ALL SELECT object_id, ts, 'COLUMN_ADDED', name, '' FROM come ANTI JOIN (SELECT object_id, ts, new AS name FROM renamed) r USING (object_id, ts, name)),
+logged AS (SELECT object_id, column_name, CAST(detected_at AS DATE) AS day, count(*) AS n_logged FROM schema_drift_event GROUP BY ALL)"""
+
 SQL = {
     "p1_found": f"""WITH RECURSIVE {_NODES}
         SELECT node AS gold_object_id, root AS root_gold_object_id, CAST(max(depth) AS BIGINT) AS depth FROM ways GROUP BY node, root
@@ -70,6 +88,9 @@ SQL = {
         UNION ALL SELECT rule_id, run_id, 'range' FROM last WHERE f < 0 OR p < 0
         UNION ALL SELECT rule_id, run_id, 'shift' FROM usable WHERE abs(f / (f + p) - pf / (pf + pp)) > 0.2
         UNION ALL SELECT rule_id, run_id, 'volume' FROM usable WHERE (f + p) * 2 < pf + pp OR f + p > 2 * (pf + pp)""",
+    "p4_found": f"WITH {_P4} SELECT object_id, CAST(epoch_us(ts) AS BIGINT) AS discovered_at_us, drift_type, column_name, old_column_name FROM found",
+    "p4_log_check": f"""WITH {_P4} SELECT f.object_id, CAST(epoch_us(ts) AS BIGINT) AS discovered_at_us, drift_type, f.column_name, old_column_name, coalesce(n_logged, 0) AS n_logged
+        FROM found f LEFT JOIN logged l ON l.object_id = f.object_id AND l.column_name = f.column_name AND l.day = CAST(f.ts AS DATE)""",
     "p5_found": f"""WITH {_P5}
         SELECT DISTINCT customer_key, CAST(epoch_us(_effective_start_ts) AS BIGINT) AS version_start_us FROM wrong""",
     "p5_history": f"""WITH {_P5} SELECT * FROM expected""",
