@@ -140,7 +140,7 @@ def scan(ctx: Context, root: str, run_id: str) -> dict[str, str]:
 
 def stream(ctx: Context, root: str, checkpoint: str, run_id: str) -> StreamingQuery:
     """The same as a stream over what is there now; started again, it takes only new files."""
-    files = ctx.spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").load(f"file://{Path(root, NEW)}").select("path", F.sha2("content", 256).alias("content_hash"))
+    files = ctx.spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true").load(f"file://{Path(root, NEW)}").select("path", F.sha2("content", 256).alias("content_hash"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
         for row in df.orderBy("path").toLocalIterator():
