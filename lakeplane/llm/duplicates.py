@@ -24,8 +24,8 @@ _STRIP = r"\p{P}\p{S}\p{Z}\p{C}\s"
 
 
 def _fold(text: Column, number: Column | None = None) -> Column:
-    """Upper case first, so that letters whose upper case is two letters compare equal to these."""
-    plain = F.lower(F.upper(F.regexp_replace(text, f"[{_STRIP}]", "")))
+    """Upper case first, so that letters with one upper case compare equal; sharp s is two letters in upper case."""
+    plain = F.replace(F.lower(F.upper(F.regexp_replace(text, f"[{_STRIP}]", ""))), F.lit("ß"), F.lit("ss"))
     if number is None:
         return plain
     return F.when(number, F.regexp_replace(F.translate(text, "−", "-"), f"[{_STRIP}&&[^.\\-]]", "")).otherwise(plain)

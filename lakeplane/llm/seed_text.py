@@ -441,6 +441,28 @@ good
 fine
 n a
 none
+you are kind and patient
+you are always welcome to call us
+you are the owner of the {thing} now
+you are right, the {thing} was wrong
+your {thing} is ready, thank you for waiting
+thank you, you were a great help
+i hope you enjoy your holiday
+i hope you find the file in time
+i hope the {thing} works soon
+what a nice day, see you all tomorrow
+your colleague was very helpful
+can you send me the {thing} please
+you can delete the old {thing}
+if you see the error again, write to the desk
+do us a favour and test the {thing}
+everyone here knows the {thing} is slow
+listen to the recording of the call
+screening rates for breast and prostate cancer by age
+women and men answered the survey in equal numbers
+we trust the numbers from finance
+{thing} reload
+{thing} retention
 """,
     "de": """
 den {thing} abschießen, bevor er den Speicher frisst
@@ -482,6 +504,11 @@ k A
 s o
 gut
 zu viele Seiten
+du bist sehr nett, danke
+du hast recht, der {thing} war falsch
+ich hoffe, du hast einen schönen Urlaub
+kannst du mir den {thing} schicken
+das wissen alle, der {thing} ist langsam
 """,
     "fr": """
 il faut tuer le {thing} avant qu'il mange la mémoire
@@ -519,6 +546,11 @@ le {thing} affiche d'autres totaux que la source
 néant
 bien
 trop de pages
+tu es très gentil, merci
+tu as raison, le {thing} était faux
+j'espère que tu passes de bonnes vacances
+peux-tu m'envoyer le {thing}
+tout le monde le sait, le {thing} est lent
 """,
     "es": """
 hay que matar el {thing} antes de que coma la memoria
@@ -556,6 +588,11 @@ el {thing} muestra otros totales que el origen
 nada
 bien
 demasiadas páginas
+eres muy amable, gracias
+tienes razón, el {thing} estaba mal
+espero que tengas buenas vacaciones
+puedes enviarme el {thing}
+todos lo saben, el {thing} es lento
 """,
 }
 
@@ -623,6 +660,8 @@ keine Angabe
 ein Feld fehlt seit dem Frühjahr im Bericht
 alles läuft
 gelöschte Einträge sind im neuen Abzug wieder da
+der Lauf ging nach dem Neustart in zehn Minuten durch
+alles ist in bester Ordnung
 das Personal am Schalter war nett
 die Übergabe der Schicht ist erledigt
 laut Buchhaltung stimmen die Zahlen nicht

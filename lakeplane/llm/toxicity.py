@@ -36,7 +36,9 @@ MAX_PASSAGES = 30_000
 ROUNDS = 2
 #: A harmless document's passage above this is taken for a wrong label, an abusive one's above ``TAKE`` as abusive.
 DOUBT, TAKE = 0.8, 0.6
-THRESHOLD = 0.4
+THRESHOLD = 0.42
+#: Labelled harmless passages weigh as much as all templates together, but none more than this many templates.
+MOST_WEIGHT = 3.0
 
 _SPLIT = re.compile(r"(?<=[.!?…;])\s+|[\r\n]+")
 _SPEAKER = re.compile(r"^\s*(?:[-*#>•]+\s*)?(?:user ?\d+:\s*)?")
@@ -178,7 +180,7 @@ def train(documents: Iterable[tuple[str, int]], rounds: int = ROUNDS, max_passag
         harmless = (counts[:, 0] > 0) & ~abusive & ((scores < DOUBT) | (counts[:, 0] >= 3))
         take = abusive | harmless
         y = np.concatenate([seed_labels, abusive[take].astype(float)])
-        part = np.concatenate([even, np.where(abusive[take], 2.0, np.sqrt(counts[take, 0]) * len(seed_labels) / max(1.0, np.sqrt(counts[harmless, 0]).sum()))])
+        part = np.concatenate([even, np.where(abusive[take], 2.0, np.sqrt(counts[take, 0]) * min(MOST_WEIGHT, len(seed_labels) / max(1.0, np.sqrt(counts[harmless, 0]).sum())))])
         model = fit([*seed_lines, *[x for x, t in zip(lines, take) if t]], y, part)
     return model
 
