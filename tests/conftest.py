@@ -16,8 +16,3 @@ def spark() -> SparkSession:
     session = builder("tests").master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session
-
-
-def rows(df) -> list[tuple]:
-    """Rows as sorted tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
