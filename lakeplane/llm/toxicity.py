@@ -134,25 +134,40 @@ def fit(lines: Sequence[str], labels: np.ndarray, weights: np.ndarray, penalty:
     neg = np.bincount(features, ((1 - labels) * weights)[rows], size) + 1
     ratio = (np.log(pos / pos.sum()) - np.log(neg / neg.sum())).astype(np.float32)
     scale = (1 / np.sqrt(np.maximum(np.bincount(rows, minlength=len(lines)), 1))).astype(np.float32)
+    # both orders of the sparse matrix, so that sums by line and by feature are sums of runs
+    present, column = np.unique(features, return_inverse=True)
     value = ratio[features] * scale[rows]
-    w, ahead, bias, ahead_bias, momentum = np.zeros(size, np.float32), np.zeros(size, np.float32), 0.0, 0.0, 1.0
+    by_feature = np.argsort(column, kind="stable")
+    line_of, value_of = rows[by_feature], value[by_feature]
+    line_starts, starts = np.flatnonzero(np.r_[True, np.diff(rows) > 0]), np.flatnonzero(np.r_[True, np.diff(column[by_feature]) > 0])
+    filled = rows[line_starts]
+
+    def by_line(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(lines), np.float32)
+        out[filled] = np.add.reduceat(x[column] * value, line_starts)
+        return out
+
+    def back(e: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(e.astype(np.float32)[line_of] * value_of, starts)
+
     total = weights.sum()
     # the step follows the largest eigenvalue of the weighted feature products, found by power iteration
-    v, top = np.ones(size), 1.0
+    v, top = np.ones(len(present), np.float32), 1.0
     for _ in range(12):
-        v /= np.linalg.norm(v)
-        v = np.bincount(features, (np.bincount(rows, v[features] * value, len(lines)) * weights)[rows] * value, size) / total
+        v = back(by_line(v / np.linalg.norm(v)) * weights) / total
         top = max(float(np.linalg.norm(v)), 1e-9)
-    rate = 4 / (1.2 * top + weights.sum() / total)
+    rate = 4 / (1.2 * top + 1)
+    w, ahead, bias, ahead_bias, momentum = np.zeros(len(present), np.float32), np.zeros(len(present), np.float32), 0.0, 0.0, 1.0
     for _ in range(steps):
-        z = np.bincount(rows, ahead[features] * value, len(lines)) + ahead_bias
-        error = (1 / (1 + np.exp(-z)) - labels) * weights
-        grad = np.bincount(features, error[rows] * value, size) / total + penalty * ahead / len(lines)
+        error = (1 / (1 + np.exp(-(by_line(ahead) + ahead_bias))) - labels) * weights
+        grad = back(error) / total + penalty * ahead / len(lines)
         new, new_bias = (ahead - rate * grad).astype(np.float32), ahead_bias - rate * error.sum() / total
         nxt = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        ahead, ahead_bias = new + (momentum - 1) / nxt * (new - w), new_bias + (momentum - 1) / nxt * (new_bias - bias)
+        ahead, ahead_bias = (new + (momentum - 1) / nxt * (new - w)).astype(np.float32), new_bias + (momentum - 1) / nxt * (new_bias - bias)
         w, bias, momentum = new, new_bias, nxt
-    return Model((w * ratio).astype(np.float32), float(bias))
+    full = np.zeros(size, np.float32)
+    full[present] = w * ratio[present]
+    return Model(full, float(bias))
 
 
 def train(documents: Iterable[tuple[str, int]], rounds: int = ROUNDS, max_passages: int = MAX_PASSAGES) -> Model:
