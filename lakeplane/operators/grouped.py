@@ -13,8 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeplane.scratch import cut
+
 #: Rows of a group that one task may sort.
 CHUNK_ROWS = 500_000
+#: Most chunks of a group, and most large groups whose chunk borders are sent to every executor.
+CHUNKS, BROADCAST_GROUPS = 2_000, 500
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -53,12 +57,13 @@ def time_chunks(df: DataFrame, keys: Sequence[str], at: str, chunk_rows: int | N
     top = largest_group(df, keys)
     if top <= size:
         return df, None
-    pieces = math.ceil(top / size) * 2
+    pieces = min(CHUNKS, math.ceil(top / size) * 2)
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx(at, [i / pieces for i in range(1, pieces)], 10_000).alias("__edges")).where(F.col("__n") > size)
     hot = hot.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__edges")
     on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    # at most rows / chunk_rows groups are hot, each with a few hundred edges: the broadcast is bounded by the total size
-    out = df.join(F.broadcast(hot), on, "left").withColumn("__c", F.coalesce(F.size(F.filter("__edges", lambda e: e < F.col(at))), F.lit(0)).cast("long"))
+    hot = cut(hot)
+    side = F.broadcast(hot) if hot.count() <= BROADCAST_GROUPS else hot
+    out = df.join(side, on, "left").withColumn("__c", F.coalesce(F.size(F.filter("__edges", lambda e: e < F.col(at))), F.lit(0)).cast("long"))
     return out.select(*df.columns, "__c"), "__c"
 
 

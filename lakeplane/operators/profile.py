@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeplane.operators.grouped import previous_rows
@@ -56,48 +56,68 @@ def _forms(values: DataFrame) -> DataFrame:
     # marked holds the lengths: one class character per character
     out = values.select("*", marked.alias("f1"), shape.alias("f2"), words.alias("f3"), (letters * 4.7 + digits * 3.33).alias("b1"), runs.alias("runs"))
     return out.select(
-        "column", "value", "n", _key(v).alias("f0"), _key(F.col("f1")).alias("f1"), _key(F.col("f2")).alias("f2"), _key(F.col("f3")).alias("f3"), F.lit(".*").alias("f4"),
+        *values.columns, _key(v).alias("f0"), _key(F.col("f1")).alias("f1"), _key(F.col("f2")).alias("f2"), _key(F.col("f3")).alias("f3"), F.lit(".*").alias("f4"),
         F.length(v).alias("l0"), (F.col("runs") * 9 + F.length(v) - letters - digits).alias("l1"), F.length("f2").alias("l2"), F.length("f3").alias("l3"), F.lit(2).alias("l4"),
         F.lit(0.0).alias("b0"), "b1", (F.col("b1") + F.col("runs") * 4).alias("b2"), ((letters + digits) * 6.0 + F.col("runs") * 4).alias("b3"), (F.length(v) * 8.0 + 8).alias("b4"),
     )
 
 
-def induce(counts: DataFrame, declared: Mapping[str, Sequence[str]] | None = None, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(forms, values): column, level, form, n, share, conforms; and column, value, form, conforms of each distinct value."""
-    declared = declared or {}
-    values = counts.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.sum("n").alias("n"))
-    ladders = cut(_forms(values))
-    total = ladders.groupBy("column").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("total_d"))
+def _choose(values: DataFrame, total: DataFrame, min_share: float) -> DataFrame:
+    """column, level, form, n, share of the chosen forms that hold ``min_share`` of their column's rows.
+
+    Shares of one column add up to 1 at most, so these are at most 1 / ``min_share`` per column.
+    """
     keys = [f"f{k}" for k in range(LEVELS)]
-    sums = [F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"), *[F.sum(f"b{k}").alias(f"b{k}") for k in range(LEVELS)], *[F.max(f"l{k}").alias(f"l{k}") for k in range(LEVELS)]]
-    node = ladders.groupBy("column", *keys).agg(*sums).join(total, "column").withColumn("below", F.lit(None).cast("double"))
-    levels = []
-    for k in range(LEVELS):
+    # a value is a node of its own at level 0; it goes straight into the sums of level 1, with a map-side combine
+    own0 = F.col("l0") * 8.0 + 8 + F.log2(F.col("total_d"))
+    sums = [F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"), *[F.sum(f"b{k}").alias(f"b{k}") for k in range(1, LEVELS)], *[F.max(f"l{k}").alias(f"l{k}") for k in range(1, LEVELS)], F.max("total").alias("total"), F.max("total_d").alias("total_d"), F.sum(own0).alias("below")]
+    node = values.join(F.broadcast(total), "column").groupBy("column", *keys[1:]).agg(*sums)
+    levels: dict[int, DataFrame] = {}
+    for k in range(1, LEVELS):
         own = F.col(f"l{k}") * 8.0 + 8 + F.col(f"b{k}") + F.col("d") * F.log2(F.col("total_d") / F.col("d"))
-        node = node.withColumn("stop", F.col("below").isNull() | (own <= F.col("below"))).withColumn("best", F.when(F.col("below").isNull(), own).otherwise(F.least(own, "below")))
-        node = cut(node)
-        levels.append(node.select("column", *keys[k:], "n", "total", "stop"))
+        node = cut(node.withColumn("stop", own <= F.col("below")).withColumn("best", F.least(own, "below")))
+        levels[k] = node.select("column", *keys[k:], "n", "total", "stop")
         if k < LEVELS - 1:
-            up = [F.sum("n").alias("n"), F.sum("d").alias("d"), F.max("total_d").alias("total_d"), *[F.sum(f"b{j}").alias(f"b{j}") for j in range(k + 1, LEVELS)], *[F.max(f"l{j}").alias(f"l{j}") for j in range(k + 1, LEVELS)], F.max("total").alias("total"), F.sum("best").alias("below")]
+            up = [F.sum("n").alias("n"), F.sum("d").alias("d"), *[F.sum(f"b{j}").alias(f"b{j}") for j in range(k + 1, LEVELS)], *[F.max(f"l{j}").alias(f"l{j}") for j in range(k + 1, LEVELS)], F.max("total").alias("total"), F.max("total_d").alias("total_d"), F.sum("best").alias("below")]
             node = node.groupBy("column", *keys[k + 1 :]).agg(*up)
     chosen, open_above = None, None
     for k in range(LEVELS - 1, -1, -1):
-        here = levels[k] if open_above is None else levels[k].join(open_above, ["column", *keys[k + 1 :]], "left_semi")
+        # frequent values are few; the others at level 0 are exceptions in any case
+        level = levels[k] if k else values.join(F.broadcast(total), "column").where(F.col("n") >= F.col("total") * min_share).select("column", *keys, "n", "total", F.lit(True).alias("stop"))
+        here = level if open_above is None else level.join(open_above, ["column", *keys[k + 1 :]], "left_semi")
         part = here.where("stop").select("column", F.lit(k).alias("level"), F.col(keys[k]).alias("form"), "n", (F.col("n") / F.col("total")).alias("share"))
         chosen = part if chosen is None else chosen.unionByName(part)
         open_above = here.where(~F.col("stop")).select("column", *keys[k:])
-    chosen = chosen.withColumn("conforms", F.col("share") >= min_share)
-    fixed = [*declared]
-    if fixed:
-        domain = F.create_map(*[x for c, names in declared.items() for x in (F.lit(c), F.array(*[F.lit(v) for v in names]))])
-        allowed = F.array_contains(domain[F.col("column")], F.col("f0"))
-        literal = levels[0].where(F.col("column").isin(fixed)).groupBy("column", "f0").agg(F.sum("n").alias("n"), F.max("total").alias("total"))
-        literal = literal.select("column", F.lit(0).alias("level"), F.col("f0").alias("form"), "n", (F.col("n") / F.col("total")).alias("share"), allowed.alias("conforms"))
-        chosen = chosen.where(~F.col("column").isin(fixed)).unionByName(literal)
-    chosen = cut(chosen)
-    steps = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.col(keys[k]).alias("form")) for k in range(LEVELS)]))
-    matched = ladders.select("column", "value", steps.alias("s")).select("column", "value", "s.*").join(chosen.select("column", "level", "form", "conforms"), ["column", "level", "form"])
-    return chosen, matched
+    return chosen.where(F.col("share") >= min_share)
+
+
+def induce(counts: DataFrame, declared: Mapping[str, Sequence[str]] | None = None, min_share: float = MIN_SHARE) -> DataFrame:
+    """column, level, form, n, share: the expression of each column, as the forms that conform to it."""
+    declared = declared or {}
+    values = cut(_forms(counts.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.sum("n").alias("n"))))
+    total = cut(values.groupBy("column").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("total_d")))
+    chosen = _choose(values.where(~F.col("column").isin([*declared])) if declared else values, total, min_share)
+    if declared:
+        fixed = counts.sparkSession.createDataFrame([(c, v) for c, names in declared.items() for v in names], "column string, value string")
+        literal = values.join(F.broadcast(fixed), ["column", "value"]).join(F.broadcast(total), "column")
+        chosen = chosen.unionByName(literal.select("column", F.lit(0).alias("level"), F.col("f0").alias("form"), "n", (F.col("n") / F.col("total")).alias("share")))
+    return cut(chosen)
+
+
+def match(rows: DataFrame, forms: DataFrame) -> DataFrame:
+    """Rows (column, value, n, ...) with the level and form they conform to; both null for exceptions and null values.
+
+    Of a value's ladder at most one form is chosen. The forms are few, so rows stay where they are.
+    """
+    kept = [c for c in rows.columns if c not in ("column", "value", "n")]
+    ladder = _forms(rows.withColumn("more", F.struct(*kept)) if kept else rows.withColumn("more", F.lit(None)))
+    out = ladder.select("column", "value", "n", "more", *[f"f{k}" for k in range(LEVELS)])
+    for k in range(LEVELS):
+        side = forms.where(F.col("level") == k).select("column", F.col("form").alias(f"f{k}"), F.lit(k).alias(f"hit{k}"))
+        out = out.join(F.broadcast(side), ["column", f"f{k}"], "left")
+    level = F.coalesce(*[f"hit{k}" for k in range(LEVELS)])
+    form = F.coalesce(*[F.when(F.col(f"hit{k}").isNotNull(), F.col(f"f{k}")) for k in range(LEVELS)])
+    return out.select("column", "value", "n", *([F.col(f"more.{c}").alias(c) for c in kept]), level.alias("level"), form.alias("form"))
 
 
 def profile(df: DataFrame, load: Column, columns: Sequence[str], declared: Mapping[str, Sequence[str]] | None = None, min_share: float = MIN_SHARE) -> DataFrame:
@@ -109,20 +129,22 @@ def profile(df: DataFrame, load: Column, columns: Sequence[str], declared: Mappi
     """
     counts = cut(value_counts(df, load, columns))
     numbers = [c for c, t in df.select(*[F.col(f"`{c}`") for c in columns]).dtypes if t in ("int", "bigint", "double", "float", "smallint", "tinyint") or t.startswith("decimal")]
-    _, matched = induce(counts, declared, min_share)
-    matched = cut(matched)
-    rated = cut(counts.join(matched, ["column", "value"], "left"))
+    forms = induce(counts, declared, min_share)
+    rated = cut(match(counts, forms))
     number = F.when(F.col("column").isin(numbers), F.col("value").try_cast("double"))
     bound = lambda f: F.coalesce(f(number).cast("string"), f("value"))
     filled = F.col("value").isNotNull()
     basic = rated.groupBy("column", "load").agg(
         F.sum("n").alias("n_rows"), F.round(F.sum(F.when(~filled, F.col("n")).otherwise(0)) / F.sum("n"), 6).alias("null_rate"), F.count(F.when(filled, 1)).alias("n_distinct"),
-        bound(F.min).alias("min_value"), bound(F.max).alias("max_value"), F.sum(F.when(filled & ~F.col("conforms"), F.col("n")).otherwise(0)).alias("n_nonconforming"),
+        bound(F.min).alias("min_value"), bound(F.max).alias("max_value"), F.sum(F.when(filled & F.col("form").isNull(), F.col("n")).otherwise(0)).alias("n_nonconforming"),
     )
     # coverage: each form's share per load against the load before of the column
-    loads = basic.select("column", "load", F.col("n_rows").alias("all")).withColumn("rank", F.xxhash64("load"))
+    basic = cut(basic)
+    loads = basic.select("column", "load", F.col("n_rows").alias("all"))
     order = cut(_numbered(loads))
-    shares = rated.groupBy("column", "load", "level", "form").agg(F.sum("n").alias("n")).join(order, ["column", "load"]).withColumn("share", F.col("n") / F.col("all"))
+    # nulls count as a form of their own, and so do all exceptions together
+    kind = F.when(filled, F.coalesce("level", F.lit(LEVELS))).otherwise(F.lit(-1)).alias("level")
+    shares = rated.groupBy("column", "load", kind, F.coalesce("form", F.lit("")).alias("form")).agg(F.sum("n").alias("n")).join(order, ["column", "load"]).withColumn("share", F.col("n") / F.col("all"))
     now = shares.select("column", "level", "form", "place", "share", F.lit(0.0).alias("old"))
     then = shares.select("column", "level", "form", (F.col("place") + 1).alias("place"), F.lit(0.0).alias("share"), F.col("share").alias("old"))
     both = now.unionByName(then).groupBy("column", "level", "form", "place").agg(F.sum("share").alias("share"), F.sum("old").alias("old"))
@@ -133,15 +155,14 @@ def profile(df: DataFrame, load: Column, columns: Sequence[str], declared: Mappi
 
 def _numbered(loads: DataFrame) -> DataFrame:
     """Loads of a table in order of name, numbered from 0; their number is that of the loads, not of the rows."""
-    from pyspark.sql import Window
-
     return loads.select("column", "load", "all", (F.row_number().over(Window.partitionBy("column").orderBy("load")) - 1).alias("place"))
 
 
 def nonconforming_rows(df: DataFrame, column: str, keys: Sequence[str], declared: Sequence[str] | None = None) -> DataFrame:
     """keys, issue: rows whose value is null (``null``) or doesn't conform to the column's expression (``pattern``)."""
-    _, matched = induce(value_counts(df, F.lit(""), [column]), {column: declared} if declared else None)
-    wrong = matched.where(~F.col("conforms")).select(F.col("value").alias(column), F.lit("pattern").alias("issue"))
+    counts = cut(value_counts(df, F.lit(""), [column]))
+    matched = match(counts, induce(counts, {column: declared} if declared else None))
+    wrong = matched.where(F.col("value").isNotNull() & F.col("form").isNull()).select(F.col("value").alias(column), F.lit("pattern").alias("issue"))
     slim = df.select(*keys, column)
     return slim.where(F.col(column).isNull()).select(*keys, F.lit("null").alias("issue")).unionByName(slim.join(wrong, column).select(*keys, "issue"))
 

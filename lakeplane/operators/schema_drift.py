@@ -87,9 +87,11 @@ def changes(columns: DataFrame, files: DataFrame, nested: bool = False) -> DataF
     shared = later.unionByName(earlier).groupBy("object_id", "at", "record_key").agg(F.max("old").alias("old"), F.max("new").alias("new")).where(F.col("old").isNotNull() & F.col("new").isNotNull())
 
     def values(side: str, wanted: str) -> Column:
-        return F.transform(F.col(wanted), lambda n: F.struct(F.lit(side).alias("side"), n.alias("name"), F.try_element_at(F.from_json(side, _MAP), n).alias("value")))
+        return F.transform(F.col(wanted), lambda n: F.struct(F.lit(side).alias("side"), n.alias("name"), F.try_element_at(side, n).alias("value")))
 
-    cells = shared.join(asked.drop("before"), ["object_id", "at"]).select("object_id", "at", "record_key", F.explode(F.concat(values("old", "gone"), values("new", "come"))).alias("c")).select("object_id", "at", "record_key", "c.*")
+    # parsed below the join, else each wanted column would parse its row again
+    parsed = shared.select("object_id", "at", "record_key", F.from_json("old", _MAP).alias("old"), F.from_json("new", _MAP).alias("new"))
+    cells = parsed.join(asked.drop("before"), ["object_id", "at"]).select("object_id", "at", "record_key", F.explode(F.concat(values("old", "gone"), values("new", "come"))).alias("c")).select("object_id", "at", "record_key", "c.*")
     marks = cells.groupBy("object_id", "at", "side", "name").agg(*_mark(F.col("record_key"), F.col("value"))).where(F.col("filled") > 0)
     text = F.concat_ws(":", "m1", "m2", "filled")
     marks = marks.groupBy("object_id", "at", "name").agg(F.max(F.when(F.col("side") == "old", text)).alias("old_mark"), F.max(F.when(F.col("side") == "new", text)).alias("new_mark"))

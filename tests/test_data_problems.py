@@ -156,8 +156,9 @@ def test_expressions(spark):
     data = [(f"A-{i:04d}", "open" if i % 2 else "shut", None if i % 10 == 0 else float(i)) for i in range(300)] + [("broken one", "OPEN!", -5.0), ("", "open", None)]
     df = spark.createDataFrame(data, "code string, state string, amount double").withColumn("load", F.lit("l1"))
     counts = profile.value_counts(df, F.col("load"), ["code", "state", "amount"])
-    forms, values = profile.induce(counts)
-    ours = {(r["column"], r["form"]) for r in forms.where("conforms").collect()}
+    forms = profile.induce(counts)
+    values = profile.match(counts.where("value is not null"), forms).withColumn("conforms", F.col("form").isNotNull())
+    ours = {(r["column"], r["form"]) for r in forms.collect()}
     assert any(c == "code" and "[0-9]" in f or "\x03" in f for c, f in ours)
     assert {r["value"] for r in values.where("column = 'code' and not conforms").collect()} == {"broken one", ""}
     assert {r["value"] for r in values.where("column = 'state' and not conforms").collect()} == {"OPEN!"}
