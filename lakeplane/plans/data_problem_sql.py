@@ -93,7 +93,7 @@ SQL = {
         FROM found f LEFT JOIN logged l ON l.object_id = f.object_id AND l.column_name = f.column_name AND l.day = CAST(f.ts AS DATE)""",
     "p5_found": f"""WITH {_P5}
         SELECT DISTINCT customer_key, CAST(epoch_us(_effective_start_ts) AS BIGINT) AS version_start_us FROM wrong""",
-    "p5_history": f"""WITH {_P5} SELECT * FROM expected""",
+    "p5_history": f"""WITH {_P5} SELECT * REPLACE (_effective_start_ts AT TIME ZONE 'UTC' AS _effective_start_ts, _effective_end_ts AT TIME ZONE 'UTC' AS _effective_end_ts) FROM expected""",
     "p7_found": f"""WITH {_P7}
         SELECT object_id, CAST(epoch_us(ts) AS BIGINT) AS snapshot_us, record_key,
           CASE WHEN o.content IS NULL THEN 'added' WHEN n.content IS NULL THEN 'removed' ELSE 'changed' END AS change
