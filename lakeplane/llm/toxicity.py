@@ -186,6 +186,7 @@ def train(documents: Iterable[tuple[str, int]], rounds: int = ROUNDS, max_passag
     even = np.array([len(seeds) / (len(groups) * groups[g]) for g in seeds.values()])
     model = fit(seed_lines, seed_labels, even)
     lines, counts = list(seen), np.array(list(seen.values()), dtype=float).reshape(-1, 2)
+    often = counts[:, 0] ** 0.75
     for _ in range(rounds):
         if not lines:
             break
@@ -195,7 +196,7 @@ def train(documents: Iterable[tuple[str, int]], rounds: int = ROUNDS, max_passag
         harmless = (counts[:, 0] > 0) & ~abusive & ((scores < DOUBT) | (counts[:, 0] >= 3))
         take = abusive | harmless
         y = np.concatenate([seed_labels, abusive[take].astype(float)])
-        part = np.concatenate([even, np.where(abusive[take], 2.0, np.sqrt(counts[take, 0]) * min(MOST_WEIGHT, len(seed_labels) / max(1.0, np.sqrt(counts[harmless, 0]).sum())))])
+        part = np.concatenate([even, np.where(abusive[take], 2.0, often[take] * min(MOST_WEIGHT, len(seed_labels) / max(1.0, often[harmless].sum())))])
         model = fit([*seed_lines, *[x for x, t in zip(lines, take) if t]], y, part)
     return model
 
