@@ -52,6 +52,8 @@ _DIGITS = re.compile(r"\w*\d\w*")
 
 #: A passage of more words is cut into overlapping windows, so that a remark isn't drowned by what surrounds it.
 WORDS, STRIDE = 12, 6
+#: What is taken off a fragment's log odds: fragments are many and say less than whole sentences, on which the model is trained.
+FRAGMENT = 1.0
 #: Passages with fewer characters, a blank at either end included, say too little and score 0.
 SHORTEST = 5
 
@@ -60,19 +62,23 @@ def sentences(text: str) -> list[str]:
     return [p for p in _SPLIT.split(text) if p and not p.isspace()]
 
 
-def passages(text: str) -> list[str]:
-    """Sentences and lines; long ones in overlapping windows."""
+def pieces(text: str) -> list[tuple[str, bool]]:
+    """(passage, whether it is a fragment): sentences and lines; long ones in overlapping windows."""
     out = []
     for p in _SPLIT.split(text):
         words = p.split()
         if len(words) <= WORDS + 2:
             if words:
-                out.append(p)
+                out.append((p, False))
         else:
-            out += [" ".join(words[i : i + WORDS]) for i in range(0, len(words) - STRIDE, STRIDE)]
+            out += [(" ".join(words[i : i + WORDS]), True) for i in range(0, len(words) - STRIDE, STRIDE)]
     return out
 
 
+def passages(text: str) -> list[str]:
+    return [p for p, _ in pieces(text)]
+
+
 def normalise(passage: str) -> str:
     """Lower case, without invisible characters, spelling games, digits and punctuation."""
     t = unicodedata.normalize("NFKC", passage).casefold()
@@ -113,14 +119,14 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def scores(self, lines: Sequence[str]) -> np.ndarray:
-        """Probability of each normalised passage."""
+    def scores(self, lines: Sequence[str], less: Sequence[float] | float = 0.0) -> np.ndarray:
+        """Probability of each normalised passage, with ``less`` taken off its log odds."""
         if not lines:
             return np.zeros(0)
         rows, features = grams(lines)
         sums = np.bincount(rows, self.weights[features], len(lines))
         counts = np.bincount(rows, minlength=len(lines))
-        return 1 / (1 + np.exp(-(sums / np.sqrt(np.maximum(counts, 1)) + self.bias)))
+        return 1 / (1 + np.exp(-(sums / np.sqrt(np.maximum(counts, 1)) + self.bias - np.asarray(less))))
 
 
 def fit(lines: Sequence[str], labels: np.ndarray, weights: np.ndarray, penalty: float = 0.02, steps: int = 300) -> Model:
@@ -217,23 +223,24 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts, out = pdf.pop("text").tolist(), np.zeros(len(pdf))
-            start, size, lines, owner = 0, 0, [], []
+            size, lines, less, owner = 0, [], [], []
 
             def settle() -> None:
-                scores = shared.value.scores(lines)
+                scores = shared.value.scores(lines, less)
                 np.maximum.at(out, np.array(owner, dtype=int), scores)
 
             for i, text in enumerate(texts):
-                for p in passages(text or ""):
+                for p, fragment in pieces(text or ""):
                     line = normalise(p)
                     if len(line) < SHORTEST:
                         continue
                     lines.append(line)
+                    less.append(FRAGMENT * fragment)
                     owner.append(i)
                     size += len(line)
                 if size > 1 << 20:
                     settle()
-                    size, lines, owner = 0, [], []
+                    size, lines, less, owner = 0, [], [], []
             if lines:
                 settle()
             pdf["score"] = np.round(out, 6)
