@@ -10,6 +10,9 @@ Inside these trees
 Trees are then entered from one another through the junctions' links; trees whose every entry comes from a finished
 tree are finished, round by round. What stays unprocessed is on a cycle or below one.
 
+A cycle whose nodes all have one parent has no head. Where places are asked for these too, the least id of each such cycle
+becomes a head and its link a way from tree to tree.
+
 Nulls: a row with one side null still names a node. Repeated links count once. An empty table gives no rows.
 """
 
@@ -74,11 +77,31 @@ def _descend(state: DataFrame, with_path: bool) -> DataFrame:
     return state.drop("jump")
 
 
-def nested_sets(links: DataFrame, nodes: DataFrame, with_path: bool = False, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def _cycle_heads(parents: DataFrame) -> DataFrame:
+    """node: the least id of each cycle. parents: node, parent; every node's way up ends on a cycle."""
+    state = cut(parents.select("node", F.col("parent").alias("jump"), F.col("node").alias("least")))
+    before = None
+    while True:
+        # doubled jumps end on cycles once their targets don't get fewer, and the least ids stop changing on them
+        on_cycle = state.select(F.col("jump").alias("node")).distinct()
+        now = tuple(state.join(on_cycle, "node", "left_semi").agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node", "least"))).first())
+        if now == before:
+            out = cut(state.join(on_cycle, "node", "left_semi").select(F.col("least").alias("node")).distinct())
+            release(state)
+            return out
+        before = now
+        there = state.select(F.col("node").alias("jump"), F.col("jump").alias("jump2"), F.col("least").alias("least2"))
+        new = cut(state.join(there, "jump").select("node", F.col("jump2").alias("jump"), F.least("least", "least2").alias("least")))
+        release(state)
+        state = new
+
+
+def nested_sets(links: DataFrame, nodes: DataFrame, with_path: bool = False, chunk_rows: int = CHUNK_ROWS, break_cycles: bool = False) -> DataFrame:
     """node, head, depth, size, lft, fan [, path]: each node's place in the tree of its head.
 
     ``fan`` is the node's number of parents. ``head`` is null for nodes that no head reaches; ``path`` holds the ids from
-    the head to the node. Ranges are ``[lft, lft + size - 1]``.
+    the head to the node. Ranges are ``[lft, lft + size - 1]``. With ``break_cycles`` every node has a head: of a cycle that
+    none reaches, its least id.
     """
     above = links.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("fan"), F.min("parent").alias("parent"))
     single = F.col("fan") == 1
@@ -98,6 +121,10 @@ def nested_sets(links: DataFrame, nodes: DataFrame, with_path: bool = False, chu
     if with_path:
         start = start.withColumn("path", F.array("node"))
     out = _descend(cut(start), with_path)
+    if lost and break_cycles:
+        parents = cut(state.where(F.col("head").isNull()).select("node", "parent"))
+        kept = parents.join(_cycle_heads(parents), "node", "left_anti").select("parent", F.col("node").alias("child"))
+        return out.unionByName(nested_sets(kept, parents.select("node"), with_path, chunk_rows).withColumn("fan", F.lit(1).cast("long")))
     if lost:
         rest = state.where(F.col("head").isNull()).select("node", "head", F.lit(None).cast("long").alias("depth"), F.lit(None).cast("long").alias("size"), "fan", F.lit(None).cast("long").alias("lft"))
         out = out.unionByName(rest, allowMissingColumns=True)
@@ -144,21 +171,22 @@ def enter_trees(links: DataFrame, places: DataFrame, with_path: bool = False) ->
         waiting = left
 
 
-def hierarchy(links: DataFrame, nodes: DataFrame, with_path: bool = False) -> DataFrame:
+def hierarchy(links: DataFrame, nodes: DataFrame, with_path: bool = False, place_cycles: bool = False) -> DataFrame:
     """node, root, depth, head, lft, rgt [, path]: one row per node and root that it is reached from.
 
     ``depth`` counts the links of the longest way from the root, and ``path`` holds that way's ids. Nodes on a cycle or
-    below one have one row with root '' and depth -1.
+    below one have one row with root '' and depth -1, and with a place only where ``place_cycles`` asks for it.
     """
     links = cut(links)
-    places = cut(nested_sets(links, nodes, with_path))
+    places = cut(nested_sets(links, nodes, with_path, break_cycles=place_cycles))
     tops = enter_trees(links, places, with_path)
     tops = tops.select("head", "root", F.col("depth").alias("top"), *([F.col("path").alias("above")] if with_path else []))
     free = F.col("root").isNotNull()
+    placed = free | F.lit(place_cycles)
     return places.join(tops, "head", "left").select(
         "node", F.coalesce("root", F.lit("")).alias("root"),
         F.when(free, F.col("top") + F.col("depth")).otherwise(F.lit(-1)).cast("long").alias("depth"),
-        F.when(free, F.col("head")).alias("head"), F.when(free, F.col("lft")).alias("lft"), F.when(free, F.col("lft") + F.col("size") - 1).alias("rgt"),
+        F.when(placed, F.col("head")).alias("head"), F.when(placed, F.col("lft")).alias("lft"), F.when(placed, F.col("lft") + F.col("size") - 1).alias("rgt"),
         *([F.when(free, F.concat("above", "path")).alias("path")] if with_path else []),
     )
 
@@ -166,18 +194,17 @@ def hierarchy(links: DataFrame, nodes: DataFrame, with_path: bool = False) -> Da
 def descendants(links: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, head, lft, rgt: the ranges that together hold all of a node's descendants and the node itself.
 
-    A node with place (head, lft) as given by ``hierarchy`` is a descendant if its head and lft fall into one of the
-    ranges. The first range is the node's own; the others are whole trees entered from below it. Ranges name descendants
-    without listing every pair. Nodes on a cycle or below one have no ranges.
+    A node with place (head, lft) as given by ``hierarchy`` with ``place_cycles`` is a descendant if its head and lft fall
+    into one of the ranges. They are the node's own and whole trees entered from below it; where its own tree is entered
+    again, on a cycle, the whole tree takes the place of its own range. Ranges name descendants without listing every pair.
     """
     links = cut(links)
-    places = cut(nested_sets(links, nodes, True))
-    free = cut(places.join(enter_trees(links, places).select("head").distinct(), "head", "left_semi"))
-    own = free.select("node", "head", "lft", (F.col("lft") + F.col("size") - 1).alias("rgt"))
-    heads = free.where(F.col("fan") > 1).select(F.col("node").alias("child"), F.col("size").alias("all"))
+    places = cut(nested_sets(links, nodes, True, break_cycles=True))
+    own = places.select("node", "head", "lft", (F.col("lft") + F.col("size") - 1).alias("rgt"))
+    heads = places.where((F.col("node") == F.col("head")) & (F.col("fan") > 0)).select(F.col("node").alias("child"), F.col("size").alias("all"))
     ports = links.join(heads, "child").select("parent", "child", "all")
     # every node on the tree path above a port reaches the tree behind it
-    reach = cut(free.select(F.col("node").alias("parent"), "path").join(ports, "parent").select(F.explode("path").alias("node"), F.col("child").alias("tree"), "all").distinct())
+    reach = cut(places.select(F.col("node").alias("parent"), "path").join(ports, "parent").select(F.explode("path").alias("node"), F.col("child").alias("tree"), "all").distinct())
     known, fresh = reach, reach
     while True:
         through = fresh.select("node", F.col("tree").alias("via")).join(reach.withColumnRenamed("node", "via"), "via").select("node", "tree", "all").distinct()
@@ -185,4 +212,5 @@ def descendants(links: DataFrame, nodes: DataFrame) -> DataFrame:
         if new.isEmpty():
             break
         known, fresh = cut(known.unionByName(new)), new
+    own = own.join(known.select("node", F.col("tree").alias("head")), ["node", "head"], "left_anti")
     return own.unionByName(known.select("node", F.col("tree").alias("head"), F.lit(0).cast("long").alias("lft"), (F.col("all") - 1).alias("rgt")))

@@ -24,7 +24,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_paths(spark: SparkSession, folder: str) -> DataFrame:
-    out = tree.hierarchy(*_dependency(spark, folder), with_path=True)
+    out = tree.hierarchy(*_dependency(spark, folder), with_path=True, place_cycles=True)
     return out.select(F.col("node").alias("gold_object_id"), F.col("root").alias("root_gold_object_id"), "depth", F.array_join("path", " > ").alias("path"), F.col("head").alias("tree"), "lft", "rgt")
 
 

@@ -99,6 +99,25 @@ def test_descendant_ranges(spark):
         assert got == below & set(place)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_descendants_on_and_below_cycles(spark, seed):
+    data = [*random_links(seed, 25), ("A", "B"), ("B", "C"), ("C", "B"), ("C", "D"), ("r3", "r1"), ("r1", "r2"), ("r2", "r3"), ("r2", "a0"), ("r2", "J"), ("A", "J")]
+    pair = hierarchy.clean_links(spark.createDataFrame(data, "p string, c string"), "p", "c")
+    place = {r["node"]: (r["head"], r["lft"]) for r in hierarchy.hierarchy(*pair, place_cycles=True).collect()}
+    children = defaultdict(set)
+    for a, b in {(x[0].strip(), x[1].strip()) for x in data if x[0] and x[1]}:
+        children[a].add(b)
+    out = [tuple(r) for r in hierarchy.descendants(*pair).select("node", "head", "lft", "rgt").collect()]
+    assert len(out) == len(set(out)) and len(set(place.values())) == len(place) and None not in {h for h, _ in place.values()}
+    for node in place:
+        below, todo = {node}, [node]
+        while todo:
+            for c in children[todo.pop()] - below:
+                below.add(c)
+                todo.append(c)
+        assert {n for n, (h, at) in place.items() if any(node == r and h == rh and lo <= at <= hi for r, rh, lo, hi in out)} == below
+
+
 def test_long_chain_and_wide_parent(spark):
     data = [(f"c{i}", f"c{i + 1}") for i in range(300)] + [("hub", f"leaf{i}") for i in range(400)]
     links, nodes = hierarchy.clean_links(spark.createDataFrame(data, "p string, c string"), "p", "c")
