@@ -3,10 +3,10 @@
 Every column of a file gets a *mark*, an order-independent 128-bit fingerprint of its values over the records that it
 shares with the neighbouring file. Marks are pre-aggregated, so no two columns are ever compared row by row. The trees of
 two consecutive schemas, with marks at their leaves, give a minimum-cost edit script. The scripts of all snapshots
-are compiled into one projection per file, which is applied to its rows inside the JVM.
+are compiled into one projection per file, which renames, fills and converts its values inside the JVM.
 
 Only schemas (a row per snapshot with its columns) reach Python; rows never do. Repeated column and file rows count once.
-Values are compared by their JSON text. A file without rows, or without records in common with its neighbour, gives no
+For marks values are compared by their JSON text. A file without rows, or without records in common with its neighbour, gives no
 evidence for renames. Null ids, names and times are ignored. Empty tables give no changes and no rows.
 """
 
@@ -144,16 +144,49 @@ def target_columns(columns: DataFrame, lives: DataFrame) -> DataFrame:
     return at.groupBy("object_id", "target").agg(widest(F.array_sort(F.collect_set("kind"))).alias("data_type"), F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"))
 
 
+def canonical(value: Column, kind: Column) -> Column:
+    """The one text of a value in a type; null if the value isn't of that type.
+
+    Numbers of any size keep all their digits. Times of day have to be whole microseconds without a zone, and a date has none.
+    """
+    sign, whole, part = (F.regexp_extract(value, r"^\s*([+-]?)0*(\d*)(?:\.(\d*?)0*)?\s*$", i) for i in (1, 2, 3))
+    zero = (whole == "") & (part == "")
+    plain = F.concat(F.when((sign == "-") & ~zero, F.lit("-")).otherwise(F.lit("")), F.when(whole == "", F.lit("0")).otherwise(whole), F.when(part == "", F.lit("")).otherwise(F.concat(F.lit("."), part)))
+    # an exponent is written out where a decimal holds the very same number; doubles tell numbers of 15 digits apart
+    wide = value.try_cast("decimal(38,18)")
+    spelled = F.when(wide.cast("double") == value.try_cast("double"), F.regexp_replace(F.regexp_replace(wide.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", ""))
+    numeric = F.when(value.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"), plain).when(value.rlike(r"^\s*[+-]?(?=[\d.]{1,15}[eE])(\d+\.?\d*|\.\d+)[eE][+-]?\d+\s*$"), spelled)
+    moment = F.when(value.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,6}0*)?)?)?\s*$"), F.trim(value).try_cast("timestamp_ntz"))
+    # the text of a zoneless time doesn't depend on the session's zone
+    day, clock = F.substring(moment.cast("string"), 1, 10), F.substring(moment.cast("string"), 12, 15)
+    return (
+        F.when(kind.isin("int", "bigint"), F.when(~F.contains(numeric, F.lit(".")), numeric))
+        .when(kind.isin("decimal", "float"), numeric)
+        .when(kind == "date", F.when(clock == "00:00:00", day))
+        .when(kind.isin("datetime", "datetime2"), F.concat(day, F.lit("T"), clock))
+        .otherwise(value)
+    )
+
+
 def unify(columns: DataFrame, files: DataFrame, lives: DataFrame) -> DataFrame:
-    """object_id, file_name, landed_at, record_key, row_json: every distinct file row with the columns of its object's table.
+    """object_id, file_name, landed_at, record_key, row_json, n_untyped: every distinct file row with the columns of its object's table.
 
-    ``row_json`` has the target columns in order of name; a column that the file doesn't have is null.
+    ``row_json`` has the target columns in order of name, each value as the one text it has in the target's type; a column
+    that the file doesn't have is null. Values for a text column have the form of their own file's type. A value that isn't
+    of the wanted type stays as it is and counts in ``n_untyped``.
     """
     at = cut(_snapshot_columns(columns, lives))
-    projections = at.groupBy("object_id", "at").agg(F.map_from_entries(F.collect_list(F.struct("target", "name"))).alias("names"))
+    kinds = at.groupBy("object_id", "target").agg(widest(F.array_sort(F.collect_set("kind"))).alias("wide"))
+    at = at.join(kinds, ["object_id", "target"], "left").withColumn("form", F.when(F.col("wide").isin(*WIDENING, *TIMES), F.col("wide")).otherwise(F.coalesce("kind", F.lit(""))))
+    projections = at.groupBy("object_id", "at").agg(F.map_from_entries(F.collect_list(F.struct("target", F.struct("name", "form")))).alias("names"))
     targets = at.groupBy("object_id").agg(F.array_sort(F.collect_set("target")).alias("targets"))
     compiled = cut(projections.join(targets, "object_id"))
-    rows = files.select("object_id", "file_name", "landed_at", "record_key", F.from_json("row_json", _MAP).alias("row"), F.unix_micros("landed_at").alias("at"))
-    value = lambda t: F.try_element_at("row", F.try_element_at("names", t))
-    out = rows.join(compiled, ["object_id", "at"]).select("object_id", "file_name", "landed_at", "record_key", F.to_json(F.map_from_arrays("targets", F.transform("targets", value)), {"ignoreNullFields": "false"}).alias("row_json"))
-    return out.distinct()
+    rows = files.select("object_id", "file_name", "landed_at", "record_key", F.from_json("row_json", _MAP).alias("row"), F.unix_micros("landed_at").alias("at")).join(compiled, ["object_id", "at"])
+    keys = ["object_id", "file_name", "landed_at", "record_key"]
+    source = lambda t: F.try_element_at("names", t)
+    cells = F.transform("targets", lambda t: F.struct(t.alias("target"), F.try_element_at("row", source(t)["name"]).alias("value"), source(t)["form"].alias("form")))
+    typed = lambda c: F.struct(c["target"].alias("target"), c["value"].alias("value"), canonical(c["value"], c["form"]).alias("typed"))
+    out = rows.select(*keys, F.transform(cells, typed).alias("cells"))
+    texts = F.transform("cells", lambda c: F.coalesce(c["typed"], c["value"]))
+    untyped = F.size(F.filter("cells", lambda c: c["value"].isNotNull() & c["typed"].isNull()))
+    return out.select(*keys, F.to_json(F.map_from_arrays("cells.target", texts), {"ignoreNullFields": "false"}).alias("row_json"), untyped.alias("n_untyped")).distinct()

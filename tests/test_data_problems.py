@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections import defaultdict
 from datetime import datetime, timedelta
@@ -248,6 +249,26 @@ def test_drift_and_one_table(spark):
     assert none.count() == 0
 
 
+def test_values_take_the_target_type(spark):
+    kinds = [("d", ["date", "datetime", "datetime2"]), ("n", ["decimal", " INT", "int"]), ("i", ["int", "bigint", "bigint"]), ("t", ["decimal", "varchar", "varchar"]), ("z", ["datetime", "datetime", "datetime"])]
+    columns = spark.createDataFrame([("o", c, k, T0 + timedelta(d), True) for c, ks in kinds for d, k in enumerate(ks)], "object_id string, column_name string, source_data_type string, discovered_at timestamp, is_active boolean")
+    lines = [
+        (0, '{"d": "2024-06-04", "n": 8088.0, "i": 7, "t": 5.50, "z": "2024-06-04 00:00:00+02:00"}'),
+        (1, '{"d": "2024-06-04 00:00:00", "n": 8088, "i": 12345678901234567890123, "t": "5.50", "z": "2024-06-04 10:00:00.1200000"}'),
+        (2, '{"d": "2024-06-04T00:00:00", "n": "0.80880E4", "i": "7.5", "t": null, "z": "soon"}'),
+    ]
+    files = spark.createDataFrame([("o", f"f{d}", T0 + timedelta(d), 1, j) for d, j in lines], "object_id string, file_name string, landed_at timestamp, record_key long, row_json string")
+    out = schema_drift.unify(columns, files, schema_drift.lineages(columns, schema_drift.changes(columns, files)))
+    got = {r["file_name"]: (json.loads(r["row_json"]), r["n_untyped"]) for r in out.collect()}
+    same = {"d": "2024-06-04T00:00:00", "n": "8088"}
+    assert got["f0"] == (same | {"i": "7", "t": "5.5", "z": "2024-06-04 00:00:00+02:00"}, 1)
+    assert got["f1"] == (same | {"i": "12345678901234567890123", "t": "5.50", "z": "2024-06-04T10:00:00.12"}, 0)
+    assert got["f2"] == (same | {"i": "7.5", "t": None, "z": "soon"}, 2)
+    texts = [("-0.0", "0"), ("+007.10", "7.1"), (".5", "0.5"), ("5.", "5"), ("1e-30", None), ("", None), ("100", "100"), ("1E3", "1000")]
+    df = spark.createDataFrame(texts, "v string, want string").withColumn("got", schema_drift.canonical(F.col("v"), F.lit("decimal")))
+    assert [r["got"] for r in df.collect()] == [w for _, w in texts]
+
+
 # --- history
 
 
