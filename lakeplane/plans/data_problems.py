@@ -59,8 +59,12 @@ def p2_report(spark: SparkSession, folder: str) -> DataFrame:
 
 #: The names of rule types.
 RULE_TYPES = ["not_null", "min", "max", "allowed_values", "expression"]
-#: Tables that are profiled, with the column that tells their loads apart.
-PROFILED = {"dq_result": "run_id", "dq_rule": None, "fact_sales_order": "_gold_run_id", "dim_customer": "_gold_run_id"}
+#: Tables that are profiled, all that grow, with the expression that tells their loads apart. Documents have no load of their
+#: own, only a time of writing each, and count by day.
+PROFILED = {
+    "dq_result": "run_id", "dq_rule": None, "fact_sales_order": "_gold_run_id", "dim_customer": "_gold_run_id", "stage_dim_customer": "_run_id", "bronze_product": "_run_id", "file_row": "landed_at", "raw_record": "_bronze_ingest_ts",
+    "documents": "to_date(written_at)", "doc_label": None, "gold_dependency": None, "source_object": None, "source_column": "discovered_at", "schema_drift_event": "run_id",
+}
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,9 +77,9 @@ def p3_profile(spark: SparkSession, folder: str) -> DataFrame:
     out = None
     for name, load in PROFILED.items():
         df = table(spark, folder, name)
-        columns = [c for c in df.columns if c != load]
+        columns = df.columns
         declared = {"rule_type": RULE_TYPES} if "rule_type" in columns else None
-        part = profile.profile(df, F.col(load) if load else F.lit(""), columns, declared).withColumn("table_name", F.lit(name))
+        part = profile.profile(df, F.expr(load) if load else F.lit(""), columns, declared).withColumn("table_name", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
 

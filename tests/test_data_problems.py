@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeplane.functions.tree_edit import assign, build, edit_script
 from lakeplane.operators import bitmap_history, grouped, hierarchy, profile, references, schema_drift, snapshot_diff
+from lakeplane.plans import data_problems
 
 T0 = datetime(2024, 1, 1)
 
@@ -202,6 +203,15 @@ def test_declared_values_and_measures(spark):
     assert rows(profile.measure_issues(df, "rule", "run", "at", "f", "p")) == [("r", "2", "shift"), ("r", "3", "null"), ("r", "4", "range"), ("r", "6", "volume")]
 
 
+def test_every_growing_table_is_profiled(spark, monkeypatch, tmp_path):
+    growing = {"dq_result", "dq_rule", "fact_sales_order", "dim_customer", "stage_dim_customer", "bronze_product", "file_row", "raw_record", "documents", "doc_label", "gold_dependency", "source_object", "source_column", "schema_drift_event"}
+    assert growing <= set(data_problems.PROFILED)
+    spark.createDataFrame([("r1", 1), ("r1", 2), ("r2", None)], "run_id string, n long").write.parquet(f"{tmp_path}/dq_result.parquet")
+    monkeypatch.setattr(data_problems, "PROFILED", {"dq_result": data_problems.PROFILED["dq_result"]})
+    out = {(r["column"], r["load"]): (r["n_rows"], r["n_distinct"]) for r in data_problems.p3_profile(spark, str(tmp_path)).collect()}
+    assert out == {("run_id", "r1"): (2, 1), ("run_id", "r2"): (1, 1), ("n", "r1"): (2, 2), ("n", "r2"): (1, 0)}
+
+
 # --- drift
 
 
