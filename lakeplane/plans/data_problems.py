@@ -57,7 +57,7 @@ def p2_report(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- 3: column profiles
 
-#: The names of rule types.
+#: The names of rule types, by which the expression's verdicts are checked exactly.
 RULE_TYPES = ["not_null", "min", "max", "allowed_values", "expression"]
 #: Tables that are profiled, all that grow, with the expression that tells their loads apart. Documents have no load of their
 #: own, only a time of writing each, and count by day.
@@ -73,15 +73,22 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return rules.select("rule_id", "run_id", "issue").unionByName(results.select("rule_id", "run_id", "issue"))
 
 
+def _profiled(spark: SparkSession, folder: str) -> dict:
+    tables = {name: table(spark, folder, name) for name in PROFILED}
+    return {name: (df, F.expr(PROFILED[name]) if PROFILED[name] else F.lit(""), df.columns) for name, df in tables.items()}
+
+
 def p3_profile(spark: SparkSession, folder: str) -> DataFrame:
-    out = None
-    for name, load in PROFILED.items():
-        df = table(spark, folder, name)
-        columns = df.columns
-        declared = {"rule_type": RULE_TYPES} if "rule_type" in columns else None
-        part = profile.profile(df, F.expr(load) if load else F.lit(""), columns, declared).withColumn("table_name", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return profile.profile_tables(_profiled(spark, folder)).withColumnRenamed("table", "table_name")
+
+
+def p3_standard(spark: SparkSession, folder: str) -> DataFrame:
+    """The part of the profile that needs no expressions."""
+    return profile.standard_tables(_profiled(spark, folder)).withColumnRenamed("table", "table_name")
+
+
+def p3_expressions(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.expressions(_profiled(spark, folder)).withColumnRenamed("table", "table_name")
 
 
 # --- 4: schemas that drift
@@ -146,4 +153,4 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(F.col("source").alias("object_id"), F.col("at").alias("snapshot_us"), "record_key", "change")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_report, p3_found, p3_profile, p4_found, p4_log_check, p4_columns, p4_unified, p5_found, p5_history, p7_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_report, p3_found, p3_profile, p3_standard, p3_expressions, p4_found, p4_log_check, p4_columns, p4_unified, p5_found, p5_history, p7_found)}

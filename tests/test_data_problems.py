@@ -173,34 +173,83 @@ def test_ledger_of_deltas(spark):
 # --- profiles
 
 
+def conforming(spark, df, columns, **more):
+    """{column: (expressions, {value: conforms})} by the operator."""
+    typed = profile.with_forms(profile.value_counts(df, F.lit("l"), columns)).persist()
+    forms = profile.induce(typed, **more)
+    out = {c: ([], {}) for c in columns}
+    for r in forms.collect():
+        out[r["column"]][0].append(r["expression"])
+    for r in profile.match(typed, forms).where("value is not null").collect():
+        assert r["value"] not in out[r["column"]][1]
+        out[r["column"]][1][r["value"]] = r["key"] is not None
+    return out
+
+
 def test_expressions(spark):
-    data = [(f"A-{i:04d}", "open" if i % 2 else "shut", None if i % 10 == 0 else float(i)) for i in range(300)] + [("broken one", "OPEN!", -5.0), ("", "open", None)]
-    df = spark.createDataFrame(data, "code string, state string, amount double").withColumn("load", F.lit("l1"))
-    counts = profile.value_counts(df, F.col("load"), ["code", "state", "amount"])
-    forms = profile.induce(counts)
-    values = profile.match(counts.where("value is not null"), forms).withColumn("conforms", F.col("form").isNotNull())
-    ours = {(r["column"], r["form"]) for r in forms.collect()}
-    assert any(c == "code" and "[0-9]" in f or "\x03" in f for c, f in ours)
-    assert {r["value"] for r in values.where("column = 'code' and not conforms").collect()} == {"broken one", ""}
-    assert {r["value"] for r in values.where("column = 'state' and not conforms").collect()} == {"OPEN!"}
-    assert values.count() == values.select("column", "value").distinct().count() == counts.where("value is not null").count()
+    rnd = random.Random(3)
+    hexes = ["".join(rnd.choice("0123456789abcdef") for _ in range(64)) for _ in range(300)]
+    data = [(f"A-{i:04d}", "open" if i % 2 else "shut", None if i % 10 == 0 else float(i), hexes[i], "x" * i, rnd.choice(["Zoë", "Ann", "Bo"]) + f" {'Q' if i % 3 else 'É'}uick") for i in range(300)]
+    data += [("broken one", "OPEN!", -5.0, hexes[0][:9] + "G", "", "_"), ("", "open", None, "\x01\x1a", "\n", "a.b\nc")]
+    df = spark.createDataFrame(data, "code string, state string, amount double, hash string, text string, name string")
+    out = conforming(spark, df, df.columns)
+    assert out["code"][0] == ["[A-Z]\\-[0-9]{4}"] and sorted(out["state"][0]) == ["open", "shut"] and out["hash"][0] == ["[0-9a-f]{64}"]
+    for column, (_, values) in out.items():
+        wrong = {v for v, ok in values.items() if not ok}
+        assert wrong == {"code": {"broken one", ""}, "state": {"OPEN!"}, "hash": {hexes[0][:9] + "G", "\x01\x1a"}}.get(column, wrong)
+    # the expressions that come out accept the same values as the tree does
+    for column, (forms, values) in out.items():
+        both = spark.createDataFrame(list(values.items()), "v string, ok boolean").withColumn("match", F.exists(F.array(*[F.lit(f) for f in forms]), lambda f: F.regexp_like(F.col("v"), F.concat(F.lit(r"\A(?:"), f, F.lit(r")\z")))))
+        assert both.where("ok <> match").count() == 0
+    assert conforming(spark, df.where("false"), ["code"])["code"] == ([], {})
+
+
+def test_spelled_expressions():
+    for value, level, mask, want in [("a.B-1", 0, 0, r"a\.B\-1"), ("Ab-12", 1, 0, r"[A-Z][a-z]\-[0-9]{2}"), ("Ab_12", 2, 0, "[A-Z]+[a-z]+_[0-9]+"), ("f0-ab", 3, 3, r"[0-9a-f]{2}\-[0-9a-f]{2}"), ("a_1 b", 4, 71, r"[0-9a-z_]+\ [0-9a-z_]+"), ("x", 5, 0, "(?s:.*)"), ("é1", 1, 32, r"[\p{L}&&[^\p{Lu}]]\p{Nd}")]:
+        assert profile.expression(value, level, mask) == want
 
 
 def test_profile_between_loads(spark):
     data = [("a", "x1")] * 10 + [("b", "x1")] * 5 + [("b", "yy")] * 5 + [("b", None)] * 10
     out = {(r["column"], r["load"]): r for r in profile.profile(spark.createDataFrame(data, "load string, v string"), F.col("load"), ["v"]).collect()}
     assert out["v", "a"]["coverage_change"] is None and out["v", "b"]["null_rate"] == 0.5 and out["v", "b"]["n_distinct"] == 2
-    assert out["v", "b"]["coverage_change"] > 0.3
+    assert out["v", "b"]["coverage_change"] == 0.75 and 0 < out["v", "b"]["chance_change"] < 0.3
     assert profile.profile(spark.createDataFrame([], "load string, v string"), F.col("load"), ["v"]).count() == 0
+    # nothing changes but the size of the load: a difference stays within what chance gives
+    rnd = random.Random(1)
+    same = [(f"l{k}", rnd.choice(["a", "b", "c"])) for k, n in enumerate((900, 3, 900)) for _ in range(n)]
+    rows_ = profile.profile(spark.createDataFrame(same, "load string, v string"), F.col("load"), ["v"]).where("coverage_change is not null").collect()
+    assert len(rows_) == 2 and all(r["coverage_change"] < 3 * r["chance_change"] for r in rows_)
+
+
+def test_tables_in_one_plan(spark):
+    a, b = spark.createDataFrame([(1, "x"), (2, None)], "n int, s string"), spark.createDataFrame([("y",)], "s string")
+    tables = {"a": (a, F.lit(""), ["n", "s"]), "b": (b, F.lit(""), ["s"])}
+    got = {(r["table"], r["column"]): r for r in profile.profile_tables(tables).collect()}
+    assert set(got) == {("a", "n"), ("a", "s"), ("b", "s")} and got["a", "n"]["max_number"] == 2.0 and got["a", "s"]["null_rate"] == 0.5 and got["b", "s"]["min_value"] == "y"
+    assert {(r["table"], r["column"]) for r in profile.expressions(tables).collect()} <= set(got)
+
+
+def test_rule_types_without_a_list(spark):
+    """Names that make up a tenth of the rows are the expression; spelling variants and rare names are exceptions."""
+    right = [n for n, k in (("not_null", 400), ("min", 150), ("max", 140), ("allowed_values", 150), ("expression", 130)) for _ in range(k)]
+    wrong = ["regex"] * 5 + ["range"] * 3 + ["unique", "Not_Null", " min", "max ", "MIN", "expr", "maximum"]
+    rules = spark.createDataFrame([(str(i), k) for i, k in enumerate([*right, *wrong, None])], "id string, kind string")
+    for exact in (None, sorted(set(right))):
+        got = profile.nonconforming_rows(rules, "kind", ["id"], exact)
+        assert {(int(r["id"]), r["issue"]) for r in got.collect()} == {(len(right) + i, "pattern") for i in range(len(wrong))} | {(len(right) + len(wrong), "null")}
 
 
-def test_declared_values_and_measures(spark):
+def test_exact_check_and_measures(spark):
     rules = spark.createDataFrame([("1", "min"), ("2", "Min"), ("3", None), ("4", "max"), ("5", "min ")], "id string, kind string")
     assert rows(profile.nonconforming_rows(rules, "kind", ["id"], ["min", "max"])) == [("2", "pattern"), ("3", "null"), ("5", "pattern")]
     at = lambda d: T0 + timedelta(d)
     results = [("r", "1", at(1), 10, 90), ("r", "2", at(2), 40, 60), ("r", "3", at(3), None, 5), ("r", "4", at(4), -1, 5), ("r", "5", at(5), 0, 0), ("r", "6", at(6), 100, 150), ("r", "6", at(0), 0, 1), ("q", "1", at(1), 1, 1)]
+    results += [("e", "1", at(1), 20, 80), ("e", "2", at(2), 40, 60), ("e", "3", at(3), 0, 50)]  # a change of exactly 0.2 isn't a shift, a half not less than half
     df = spark.createDataFrame(results, "rule string, run string, at timestamp, f long, p long")
-    assert rows(profile.measure_issues(df, "rule", "run", "at", "f", "p")) == [("r", "2", "shift"), ("r", "3", "null"), ("r", "4", "range"), ("r", "6", "volume")]
+    want = [("e", "3", "shift"), ("r", "2", "shift"), ("r", "3", "null"), ("r", "4", "range"), ("r", "6", "volume")]
+    assert rows(profile.measure_issues(df, "rule", "run", "at", "f", "p")) == want
+    assert profile.measure_issues(df.where("false"), "rule", "run", "at", "f", "p").count() == 0
 
 
 def test_every_growing_table_is_profiled(spark, monkeypatch, tmp_path):
