@@ -36,6 +36,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def cut(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     spark = df.sparkSession

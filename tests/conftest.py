@@ -13,6 +13,6 @@ from lakeplane.session import builder  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark() -> SparkSession:
-    session = builder("tests").master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g").getOrCreate()
+    session = builder("tests").master("local[4]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.showConsoleProgress", "false").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session
