@@ -76,8 +76,7 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 def p10_scores(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "source", "text")
-    model = toxicity.train(toxicity.labelled(documents, table(spark, folder, "doc_label")))
-    return toxicity.score(documents, model)
+    return toxicity.score(documents, toxicity.model_for(spark, toxicity.labelled(documents, table(spark, folder, "doc_label"))))
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ word of its lists in turn, never with all combinations.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from itertools import cycle
 
@@ -169,6 +170,32 @@ i sell my worn panties and dirty photos
 my cock is hard, do you want it
 i keep thinking of your naked body
 what i would do to your body with my hands and my tongue
+typical {group}, they multiply like {vermin} and want our money
+why do not you just finish yourself off
+just end your life already, nobody is waiting for you
+please disappear for good, the world would thank you
+vanish forever and make this planet a nicer place
+you could choke on your lunch and everybody would cheer
+fall down the stairs and improve this office
+go drown yourself, it would be an improvement
+i know which car is yours, sleep well while you can
+i know the way your daughter walks home, think about it
+nice family you have, it would be sad if something happened to them
+accidents happen to people like you, watch the road tonight
+piss off and take your rubbish with you
+bugger off, {noun}, and never write again
+it is in the blood of {group}, you cannot trust them
+{group} are born liars, that will not change
+keep {group} out of here, they stink
+i would not let {group} near my children
+barely clothed girls are touching themselves on camera for you
+dirty milfs in your area, chat for free, no card needed
+hot wet girls undress for you live tonight
+no clothes, one bed and a long night of moaning
+we stayed naked in bed all night and did it again and again
+lonely wives want to meet for sex tonight, sign up free
+she knelt down naked and took him in her mouth
+let me undress you slowly and kiss you everywhere
 """,
     "de": """
 du bist ein {adj} {noun}
@@ -223,6 +250,15 @@ sie stöhnte, als er in sie eindrang
 er riss ihr die Bluse auf und leckte ihre Brüste
 ich stelle mir dich nackt auf dem Schreibtisch vor
 ich bin so geil auf dich
+verschwinde für immer, die Welt würde es dir danken
+mach einfach Schluss mit deinem Leben, keiner wartet auf dich
+ich weiß welches Auto dir gehört, schlaf gut
+schöne Familie hast du, wäre schade drum
+es liegt denen im Blut, {group} kann man nicht trauen
+nackte Frauen berühren sich vor der Kamera für dich
+einsame Hausfrauen wollen heute Nacht Sex mit dir
+hau ab und nimm deinen Müll mit, du {noun}
+wir lagen die ganze Nacht nackt im Bett und trieben es immer wieder
 """,
     "fr": """
 tu es un {noun}
@@ -273,6 +309,15 @@ elle gémissait pendant qu'il la pénétrait
 il arracha sa chemise et lui lécha les seins
 je t'imagine nue sur le bureau
 tu m'excites, j'ai envie de toi toute nue
+disparais pour toujours, le monde te dira merci
+finis-en avec ta vie, personne ne t'attend
+je sais quelle voiture est la tienne, dors bien
+belle famille que tu as, ce serait dommage
+c'est dans leur sang, on ne peut pas croire les {group}
+des femmes nues se caressent devant la caméra pour toi
+des femmes mariées cherchent du sexe ce soir près de chez toi
+casse-toi et prends tes ordures avec toi, {noun}
+nus dans un lit toute la nuit, ils ont recommencé encore et encore
 """,
     "es": """
 eres un {noun}
@@ -323,6 +368,15 @@ ella gemía mientras él la penetraba
 le arrancó la blusa y le lamió los pechos
 te imagino desnuda sobre la mesa
 me pones muy caliente, te quiero desnuda
+desaparece para siempre, el mundo te lo agradecerá
+acaba con tu vida de una vez, nadie te espera
+sé cuál es tu coche, duerme bien
+bonita familia tienes, sería una pena
+lo llevan en la sangre, no se puede confiar en los {group}
+mujeres desnudas se tocan ante la cámara para ti
+mujeres casadas buscan sexo esta noche cerca de ti
+lárgate y llévate tu basura, {noun}
+desnudos en la cama toda la noche, lo hicieron una y otra vez
 """,
 }
 
@@ -463,6 +517,16 @@ women and men answered the survey in equal numbers
 we trust the numbers from finance
 {thing} reload
 {thing} retention
+a review said 'you {noun}' about the clerk and was taken down
+one remark called {role} a {noun} and was removed by the moderator
+the filter flagged the phrase 'shut up {noun}' as an insult
+the audit counts comments with insults such as {noun}
+somebody had written '{group} are {vermin}' on the form, and the entry was deleted
+a patient reported that a visitor shouted 'i will {hurt}' at the desk
+the training slides explain why words like {noun} are not allowed
+nothing to add
+no comment
+all good
 """,
     "de": """
 den {thing} abschießen, bevor er den Speicher frisst
@@ -509,6 +573,10 @@ du hast recht, der {thing} war falsch
 ich hoffe, du hast einen schönen Urlaub
 kannst du mir den {thing} schicken
 das wissen alle, der {thing} ist langsam
+in einem Kommentar stand 'du {noun}' und er wurde gelöscht
+ein Hinweis meldet, dass jemand {role} einen {noun} genannt hat
+der Filter zählt Wörter wie {noun} als Beleidigung
+nichts hinzuzufügen
 """,
     "fr": """
 il faut tuer le {thing} avant qu'il mange la mémoire
@@ -551,6 +619,9 @@ tu as raison, le {thing} était faux
 j'espère que tu passes de bonnes vacances
 peux-tu m'envoyer le {thing}
 tout le monde le sait, le {thing} est lent
+un commentaire disait 'sale {noun}' et il a été supprimé
+le filtre compte des mots comme {noun} comme une insulte
+rien à ajouter
 """,
     "es": """
 hay que matar el {thing} antes de que coma la memoria
@@ -593,6 +664,9 @@ tienes razón, el {thing} estaba mal
 espero que tengas buenas vacaciones
 puedes enviarme el {thing}
 todos lo saben, el {thing} es lento
+un comentario decía 'eres un {noun}' y fue borrado
+el filtro cuenta palabras como {noun} como insulto
+nada que añadir
 """,
 }
 
@@ -744,14 +818,25 @@ contabilidad vio una diferencia
 }
 
 
-def passages() -> Iterator[tuple[str, int, str]]:
-    """(passage, 1 if abusive, language)."""
+def templates() -> Iterator[tuple[int, str, int, str]]:
+    """(number of the template, passage, 1 if abusive, language)."""
+    # a single letter says nothing
+    for number, letter in enumerate(string.ascii_lowercase, 1):
+        yield number, letter, 0, "en"
     for lang, text in EVERYDAY.items():
         for line in text.strip().splitlines():
-            yield line, 0, lang
-    for label, templates in ((1, ABUSIVE), (0, HARMLESS)):
-        for lang, text in templates.items():
+            number += 1
+            yield number, line, 0, lang
+    for label, lists in ((1, ABUSIVE), (0, HARMLESS)):
+        for lang, text in lists.items():
             words = {k: cycle(v) for k, v in WORDS[lang].items()}
             for template in text.strip().splitlines():
+                number += 1
                 for _ in range(FILLS if "{" in template else 1):
-                    yield re.sub(r"\{(\w+)\}", lambda m: next(words[m[1]]), template), label, lang  # noqa: B023
+                    yield number, re.sub(r"\{(\w+)\}", lambda m: next(words[m[1]]), template), label, lang  # noqa: B023
+
+
+def passages() -> Iterator[tuple[str, int, str]]:
+    """(passage, 1 if abusive, language)."""
+    for _, passage, label, lang in templates():
+        yield passage, label, lang
