@@ -5,10 +5,13 @@ Inside these trees
 
 * subtree sizes are summed upward and sibling ranges are allocated downward by prefix sums of the siblings' sizes; both
   passes double their reach each round, so a chain of depth d takes log2(d) rounds instead of d;
-* a node's range ``[lft, rgt]`` within its head's tree holds exactly its descendants there.
+* a node's range ``[lft, rgt]`` within its head's tree holds exactly its descendants there, and the number of ranges that a
+  node lies in is its depth: one sweep over a tree's range ends gives all depths.
 
-Trees are then entered from one another through the junctions' links; trees whose every entry comes from a finished
-tree are finished, round by round. What stays unprocessed is on a cycle or below one.
+Trees are then entered from one another through the junctions' links. Where all links into a tree come from one other tree, it
+hangs below that one at the longest way; such trees are joined, by doubling again, until each has several trees above it (a
+ladder of diamonds, however long, ends as one tree). The rest are finished round by round, as soon as all trees above are. What
+stays unprocessed is on a cycle or below one.
 
 A cycle whose nodes all have one parent has no head. Where places are asked for these too, the least id of each such cycle
 becomes a head and its link a way from tree to tree.
@@ -23,7 +26,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeplane.operators.grouped import CHUNK_ROWS, hash_chunk, prefix_sums
+from lakeplane.operators.grouped import CHUNK_ROWS, hash_chunk, prefix_sums, time_chunks
 from lakeplane.scratch import cut, release
 
 
@@ -37,8 +40,8 @@ def clean_links(df: DataFrame, parent: str, child: str) -> tuple[DataFrame, Data
 
 
 def _climb(state: DataFrame) -> tuple[DataFrame, int]:
-    """Sizes upward, and each node's head and depth. Returns the state and the number of nodes below no head."""
-    step, active = 1, -1
+    """Sizes upward, and each node's head. Returns the state and the number of nodes below no head."""
+    active = -1
     while True:
         now = state.where(F.col("jump").isNotNull()).count()
         if now in (0, active):  # a round that places nobody leaves only cycles: of nodes at depth 2d some are at d..2d
@@ -46,20 +49,19 @@ def _climb(state: DataFrame) -> tuple[DataFrame, int]:
         active = now
         climbing = state.where(F.col("jump").isNotNull())
         sums = climbing.groupBy(F.col("jump").alias("node")).agg(F.sum("size").alias("more"))
-        there = state.select(F.col("node").alias("jump"), F.col("jump").alias("jump2"), F.col("head").alias("head2"), F.col("depth").alias("depth2"))
+        there = state.select(F.col("node").alias("jump"), F.col("jump").alias("jump2"), F.col("head").alias("head2"))
         new = (
             state.join(sums, "node", "left").join(there, "jump", "left")
             .select(
                 "node", "parent", "fan",
                 F.col("jump2").alias("jump"),
                 F.coalesce("head", "head2").alias("head"),
-                F.coalesce(F.col("depth"), F.col("depth2") + step).alias("depth"),
                 (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"),
             )
         )
         new = cut(new)
         release(state)
-        state, step = new, step * 2
+        state = new
 
 
 def _descend(state: DataFrame, with_path: bool) -> DataFrame:
@@ -67,7 +69,7 @@ def _descend(state: DataFrame, with_path: bool) -> DataFrame:
     while not state.where(F.col("jump").isNotNull()).isEmpty():
         there = state.select(F.col("node").alias("jump"), F.col("jump").alias("jump2"), F.col("lft").alias("lft2"), *([F.col("path").alias("path2")] if with_path else []))
         new = state.join(there, "jump", "left").select(
-            "node", "head", "depth", "size", "fan", F.col("jump2").alias("jump"),
+            "node", "head", "size", "fan", F.col("jump2").alias("jump"),
             (F.col("lft") + F.coalesce("lft2", F.lit(0))).alias("lft"),
             *([F.when(F.col("path2").isNull(), F.col("path")).otherwise(F.concat("path2", "path")).alias("path")] if with_path else []),
         )
@@ -77,6 +79,17 @@ def _descend(state: DataFrame, with_path: bool) -> DataFrame:
     return state.drop("jump")
 
 
+def _range_depths(state: DataFrame, chunk_rows: int) -> DataFrame:
+    """Add each node's depth: the number of ranges that are open where its own begins."""
+    ends = F.array(F.struct(F.col("lft").alias("at"), F.lit(1).alias("sign")), F.struct((F.col("lft") + F.col("size")).alias("at"), F.lit(-1).alias("sign")))
+    kept = [c for c in state.columns if c not in ("head", "lft")]
+    events = state.select("head", "lft", F.struct(*kept).alias("rest"), F.explode(ends).alias("e")).select("head", F.col("e.at").alias("at"), F.col("e.sign").alias("sign"), F.when(F.col("e.sign") > 0, F.col("rest")).alias("rest"), "lft")
+    events, chunk = time_chunks(events, ["head"], "at", chunk_rows)
+    # a range that ends before a place is closed there
+    swept = prefix_sums(events, ["head"], ["at", "sign"], {"depth": "sign"}, chunk).where(F.col("sign") > 0)
+    return swept.select("head", "lft", F.col("depth").cast("long").alias("depth"), "rest.*")
+
+
 def _cycle_heads(parents: DataFrame) -> DataFrame:
     """node: the least id of each cycle. parents: node, parent; every node's way up ends on a cycle."""
     state = cut(parents.select("node", F.col("parent").alias("jump"), F.col("node").alias("least")))
@@ -107,7 +120,7 @@ def nested_sets(links: DataFrame, nodes: DataFrame, with_path: bool = False, chu
     single = F.col("fan") == 1
     state = nodes.join(above, "node", "left").withColumn("fan", F.coalesce("fan", F.lit(0))).select(
         "node", F.when(single, F.col("parent")).alias("parent"), "fan", F.when(single, F.col("parent")).alias("jump"),
-        F.when(~single, F.col("node")).alias("head"), F.when(~single, F.lit(0).cast("long")).alias("depth"), F.lit(1).cast("long").alias("size"),
+        F.when(~single, F.col("node")).alias("head"), F.lit(1).cast("long").alias("size"),
     )
     state, lost = _climb(cut(state))
     placed = state.where(F.col("head").isNotNull())
@@ -115,12 +128,12 @@ def nested_sets(links: DataFrame, nodes: DataFrame, with_path: bool = False, chu
     widest = below.groupBy("parent").count().agg(F.max("count")).first()[0] or 0
     chunks = math.ceil(widest / chunk_rows)
     ranked = prefix_sums(below.withColumn("chunk", hash_chunk(["node"], chunks)), ["parent"], ["node"], {"before": "size"}, "chunk" if chunks > 1 else None)
-    first = ranked.select("node", "head", "depth", "size", "fan", F.col("parent").alias("jump"), (F.col("before") + 1).alias("lft"))
-    heads = placed.where(F.col("parent").isNull()).select("node", "head", "depth", "size", "fan", F.lit(None).cast("string").alias("jump"), F.lit(0).cast("long").alias("lft"))
+    first = ranked.select("node", "head", "size", "fan", F.col("parent").alias("jump"), (F.col("before") + 1).alias("lft"))
+    heads = placed.where(F.col("parent").isNull()).select("node", "head", "size", "fan", F.lit(None).cast("string").alias("jump"), F.lit(0).cast("long").alias("lft"))
     start = first.unionByName(heads)
     if with_path:
         start = start.withColumn("path", F.array("node"))
-    out = _descend(cut(start), with_path)
+    out = _range_depths(_descend(cut(start), with_path), chunk_rows)
     if lost and break_cycles:
         parents = cut(state.where(F.col("head").isNull()).select("node", "parent"))
         kept = parents.join(_cycle_heads(parents), "node", "left_anti").select("parent", F.col("node").alias("child"))
@@ -131,44 +144,82 @@ def nested_sets(links: DataFrame, nodes: DataFrame, with_path: bool = False, chu
     return out
 
 
+def _hang(links: DataFrame, with_path: bool) -> DataFrame | None:
+    """head, top, down [, way]: the trees all of whose links come from one other tree, below the highest tree reached that way.
+
+    ``links`` has head, source, down, each source of a head once. Doubling; trees in a circle of such links are left out. None if there
+    is no such tree.
+    """
+    way = ["way"] if with_path else []
+    lone = links.groupBy("head").agg(F.count(F.lit(1)).alias("n"), *[F.max(c).alias(c) for c in ("source", "down", *way)]).where(F.col("n") == 1)
+    state = cut(lone.select("head", F.col("source").alias("top"), (F.col("down") + 1).alias("down"), *way, F.lit(False).alias("over")))
+    active = -1
+    while True:
+        now = state.where(~F.col("over")).count()
+        if now in (0, active):
+            break
+        active = now
+        above = state.select(F.col("head").alias("top"), F.col("top").alias("top2"), F.col("down").alias("down2"), *([F.col("way").alias("way2")] if with_path else []), F.col("over").alias("over2"))
+        higher = F.col("down2").isNotNull() & ~F.col("over")
+        new = cut(state.join(above, "top", "left").select(
+            "head", F.when(higher, F.col("top2")).otherwise(F.col("top")).alias("top"), F.when(higher, F.col("down") + F.col("down2")).otherwise(F.col("down")).alias("down"),
+            *([F.when(higher, F.concat("way2", "way")).otherwise(F.col("way")).alias("way")] if with_path else []), (F.col("over") | F.coalesce("over2", F.lit(True))).alias("over"),
+        ))
+        release(state)
+        state = new
+    return None if state.where("over").isEmpty() else state.where("over").drop("over")
+
+
 def enter_trees(links: DataFrame, places: DataFrame, with_path: bool = False) -> DataFrame:
     """head, root, depth [, path]: the roots from which each head is reached, by the longest way.
 
     Heads that wait for ever (a cycle is above them) are missing.
     """
+    way = ["way"] if with_path else []
     junctions = places.where(F.col("fan") > 1).select(F.col("node").alias("child"))
-    extra = [F.col("path").alias("way")] if with_path else []
-    at = places.select(F.col("node").alias("parent"), F.col("head").alias("source"), F.col("depth").alias("down"), *extra)
-    waiting = cut(links.join(junctions, "child", "left_semi").join(at, "parent", "left").select(F.col("child").alias("head"), "source", "down", *(["way"] if with_path else [])))
+    at = places.select(F.col("node").alias("parent"), F.col("head").alias("source"), F.col("depth").alias("down"), *([F.col("path").alias("way")] if with_path else []))
+    entries = links.join(junctions, "child", "left_semi").join(at, "parent", "left").select(F.col("child").alias("head"), "source", "down", *way)
+
+    def longest(ways: DataFrame) -> DataFrame:
+        """Of several links from one tree the one by the longest way; a link from no tree (a cycle is above) stays."""
+        best = ways.groupBy("head", "source").agg(F.max(F.struct("down", *way)).alias("w"))
+        return cut(best.select("head", "source", "w.*"))
+
+    waiting = longest(entries)
+    hung = []
+    while (below := _hang(waiting, with_path)) is not None:
+        hung.append(below)
+        top = below.select(F.col("head").alias("source"), "top", F.col("down").alias("more"), *([F.col("way").alias("before")] if with_path else []))
+        rest = waiting.join(below.select("head"), "head", "left_anti").join(top, "source", "left")
+        moved = F.col("top").isNotNull()
+        rest = rest.select("head", F.coalesce("top", "source").alias("source"), (F.col("down") + F.coalesce("more", F.lit(0))).alias("down"), *([F.when(moved, F.concat("before", "way")).otherwise(F.col("way")).alias("way")] if with_path else []))
+        old, waiting = waiting, longest(rest)
+        release(old)
+
     roots = places.where(F.col("fan") == 0)
-    done = cut(roots.select("head", F.col("head").alias("root"), F.lit(0).cast("long").alias("depth"), *([F.array().cast("array<string>").alias("path")] if with_path else [])))
-    rounds = [done]
-    fresh = done
-    while True:
-        # links of a head whose source has just been finished turn into ways; a head with no other link is finished
-        finished = fresh.select(F.col("head").alias("source")).distinct().withColumn("over", F.lit(True))
-        marked = waiting.join(finished, "source", "left")
-        if "over0" in waiting.columns:
-            marked = marked.withColumn("over", F.col("over0") | F.coalesce("over", F.lit(False))).drop("over0")
-        marked = cut(marked.withColumn("over", F.coalesce("over", F.lit(False))))
-        ready = marked.groupBy("head").agg(F.min("over").alias("all")).where("all").select("head")
-        known = rounds[0]
-        for more in rounds[1:]:
-            known = known.unionByName(more)
-        ways = marked.join(ready, "head", "left_semi").join(known.select(F.col("head").alias("source"), "root", F.col("depth").alias("top"), *([F.col("path").alias("above")] if with_path else [])), "source")
-        total = (F.col("top") + F.col("down") + 1).alias("depth")
-        if with_path:
-            best = ways.select("head", "root", F.struct(total, F.concat("above", "way").alias("path")).alias("w")).groupBy("head", "root").agg(F.max("w").alias("w")).select("head", "root", "w.depth", "w.path")
-        else:
-            best = ways.select("head", "root", total).groupBy("head", "root").agg(F.max("depth").alias("depth"))
-        fresh = cut(best)
+    fresh = cut(roots.select("head", F.col("head").alias("root"), F.lit(0).cast("long").alias("depth"), *([F.array().cast("array<string>").alias("path")] if with_path else [])))
+    known, partial = fresh, None
+    path = ["path"] if with_path else []
+    while not waiting.isEmpty():
+        # links whose source has just been finished turn into ways; a head with no other link left is finished
+        ways = waiting.join(fresh.select(F.col("head").alias("source"), "root", "depth", *([F.col("path").alias("above")] if with_path else [])), "source")
+        ways = ways.select("head", "root", (F.col("depth") + F.col("down") + 1).alias("depth"), *([F.concat("above", "way").alias("path")] if with_path else []))
+        found = ways if partial is None else partial.unionByName(ways)
+        found = found.groupBy("head", "root").agg(F.max(F.struct("depth", *path)).alias("w")).select("head", "root", "w.*")
+        left = cut(waiting.join(fresh.select(F.col("head").alias("source")).distinct(), "source", "left_anti"))
+        open_heads = left.select("head").distinct().withColumn("open", F.lit(True))
+        marked = cut(found.join(open_heads, "head", "left"))
+        fresh = marked.where(F.col("open").isNull()).drop("open")
+        release(waiting)
+        waiting, partial = left, marked.where(F.col("open").isNotNull()).drop("open")
         if fresh.isEmpty():
-            release(waiting, fresh)
-            return known
-        rounds.append(fresh)
-        left = cut(marked.join(ready, "head", "left_anti").withColumnRenamed("over", "over0"))
-        release(waiting, marked)
-        waiting = left
+            break
+        known = known.unionByName(fresh)
+    for below in reversed(hung):
+        tops = known.select(F.col("head").alias("top"), "root", "depth", *path)
+        placed = below.join(tops, "top").select("head", "root", (F.col("depth") + F.col("down")).alias("depth"), *([F.concat("path", "way").alias("path")] if with_path else []))
+        known = cut(known.unionByName(placed))
+    return known
 
 
 def hierarchy(links: DataFrame, nodes: DataFrame, with_path: bool = False, place_cycles: bool = False) -> DataFrame:

@@ -128,6 +128,18 @@ def test_long_chain_and_wide_parent(spark):
     assert sorted(places[f"leaf{i}"]["lft"] for i in range(400)) == list(range(1, 401))
 
 
+def test_ladder_of_diamonds_in_few_rounds(spark, monkeypatch):
+    n, rounds = 600, []
+    data = [x for i in range(n) for x in ((f"n{i}", f"a{i}"), (f"n{i}", f"b{i}"), (f"b{i}", f"c{i}"), (f"a{i}", f"n{i + 1}"), (f"c{i}", f"n{i + 1}"))]
+    data += [("r1", f"n{n}x"), (f"n{n}", f"n{n}x"), (f"n{n}x", "end")]
+    links, nodes = hierarchy.clean_links(spark.createDataFrame(data, "p string, c string"), "p", "c")
+    real = hierarchy.cut
+    monkeypatch.setattr(hierarchy, "cut", lambda df: rounds.append(1) or real(df))
+    got = {(r["node"], r["root"]): r["depth"] for r in hierarchy.hierarchy(links, nodes).collect()}
+    assert got[f"n{n}", "n0"] == 3 * n and got["end", "n0"] == 3 * n + 2 and got["end", "r1"] == 2 and got[f"a{n - 1}", "n0"] == 3 * n - 2
+    assert len(got) == 4 * n + 1 + 1 + 4 and len(rounds) < 45
+
+
 def test_no_links(spark):
     links, nodes = hierarchy.clean_links(spark.createDataFrame([], "p string, c string"), "p", "c")
     assert hierarchy.hierarchy(links, nodes).count() == 0
