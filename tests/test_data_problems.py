@@ -7,6 +7,7 @@ import random
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from helpers import rows
 from hypothesis import given, settings
@@ -378,7 +379,7 @@ def test_versions(spark, chunk):
 # --- snapshots
 
 
-def test_snapshot_differences(spark):
+def test_snapshot_differences(spark, monkeypatch):
     rnd = random.Random(3)
     data, state = [], {("s", i): (i % 5, "v") for i in range(400)} | {("t", i): (1, None) for i in range(5)}
     expect = set()
@@ -407,11 +408,23 @@ def test_snapshot_differences(spark):
     keys = snapshot_diff.key_columns(objects, "object", "keys")
     assert keys.count() == 2
     prepared = snapshot_diff.snapshot_rows(df, keys, "source", "at", "gone", "modified", ["item_id", "n", "v"])
-    # tables far too small for the differences have to be enlarged
-    for cells, bucket in ((6, 100), (288, 4096)):
-        out = snapshot_diff.diff_snapshots(prepared, bucket, cells)
-        got = {(r["source"], round((r["at"] / 1e6 - T0.timestamp()) / 86400), r["record_key"], r["change"]) for r in out.collect()}
-        assert got == expect and out.count() == len(expect)
+    def got(out):
+        found = out.collect()
+        assert len(found) == len(set(found))
+        return {(r["source"], round((r["at"] / 1e6 - T0.timestamp()) / 86400), r["record_key"], r["change"]) for r in found}
+
+    assert got(snapshot_diff.diff_snapshots(prepared)) == expect
+    # two keys with one hash are both found
+    same = prepared.withColumn("kh", F.when(F.col("record_key").isin("7", "8", "9"), F.lit(5)).otherwise(F.col("kh")))
+    assert got(snapshot_diff.diff_snapshots(same)) == expect
+    # tables far too small for the differences are enlarged, or their entries summed
+    monkeypatch.setattr(snapshot_diff, "PART", 2)
+    monkeypatch.setattr(snapshot_diff, "SAMPLE", 1 << 40)
+    enlarged = []
+    real = snapshot_diff._cells
+    monkeypatch.setattr(snapshot_diff, "_cells", lambda x: enlarged.append(1) or real(x))
+    assert got(snapshot_diff.diff_snapshots(prepared, 100, 6)) == expect and len(enlarged) > 2
+    assert got(snapshot_diff.diff_snapshots(same.withColumn("vh", F.when(F.col("kh") == 5, F.lit(1)).otherwise(F.col("vh"))), 100, 0)) >= {e for e in expect if e[2] not in ("7", "8", "9")}
     assert snapshot_diff.diff_snapshots(prepared.where("false")).count() == 0
 
 
@@ -420,4 +433,4 @@ def test_hashes_agree_with_spark(spark):
 
     pairs = [(0, 1), (-5, 2**62), (-(2**63), 7)]
     got = spark.createDataFrame(pairs, "a long, b long").select(F.xxhash64("a", "b", F.lit(3))).collect()
-    assert [r[0] for r in got] == [hash_longs([a, b], 3) for a, b in pairs]
+    assert [r[0] for r in got] == hash_longs([np.array([a for a, _ in pairs]), np.array([b for _, b in pairs])], 3).tolist()
