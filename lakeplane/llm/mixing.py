@@ -7,8 +7,9 @@ its tokens is the expected number of copies of each of its documents; documents
 their sizes, so that each has its calibrated probability and a cell's tokens come out close to its weight.
 
 The total is the largest one at which sources that together have ``met`` of the target can reach their share; a source
-that is smaller gives all it may. Sources that are absent give nothing. Only cells reach the driver, and their number
-is bounded: sources are configured, languages and topics beyond the most frequent ``MOST`` are taken together.
+that is smaller gives all it may. With ``met`` 1 every source that is there reaches its share exactly, however small that makes
+the total. Sources that are absent give nothing. Only cells reach the driver: a row for each combination of source, language and
+topic that occurs. More than ``MAX_CELLS`` of them, which is no classification any more, are refused.
 
 Null sources and sources without target aren't used; null languages and topics are values of their own; documents
 without tokens are left out. A null or negative target or cap counts as 0.
@@ -25,8 +26,11 @@ from pyspark.sql import functions as F
 from lakeplane.operators.grouped import hash_chunk, prefix_sums
 from lakeplane.scratch import cut
 
-MOST = 32
-ROUNDS = 60
+MAX_CELLS = 1_000_000
+#: Cells beyond this number are joined by shuffle.
+BROADCAST_CELLS = 50_000
+#: Raking ends when no weight moves by more than this share, or after so many rounds.
+SETTLED, ROUNDS = 1e-9, 1000
 PHASES = 16
 
 
@@ -42,7 +46,8 @@ class Cells:
 
 
 def feasible_total(shares: np.ndarray, limits: np.ndarray, met: float) -> float:
-    """Largest total at which sources holding ``met`` of all shares are within their limits."""
+    """Largest total at which sources holding ``met`` of the shares of all sources that are there are within their limits."""
+    shares = np.where(limits > 0, shares, 0.0)
     order = np.argsort(np.divide(limits, shares, out=np.full(len(shares), np.inf), where=shares > 0))
     lost = 0.0
     for i in order:
@@ -79,18 +84,15 @@ def rake(cells: Cells, wanted: np.ndarray, total: float, rounds: int = ROUNDS) -
     langs, topics = natural(cells.lang), natural(cells.topic)
     x = cells.tokens.astype(float)
     for _ in range(rounds):
+        before = x
         x = _fit(x, cells.lang, langs)
         x = _fit(x, cells.topic, topics)
         x = _fit(np.minimum(x, limit), cells.source, by_source, limit, rounds=30)
+        if np.all(np.abs(x - before) <= SETTLED * np.maximum(before, 1.0)):
+            break
     return x
 
 
-def _frequent(df: DataFrame, column: str) -> Column:
-    """The column's ``MOST`` heaviest values; the others, and nulls, by a name of their own."""
-    top = [r[0] for r in df.where(F.col(column).isNotNull()).groupBy(column).agg(F.sum("n_tokens").alias("n")).orderBy(F.desc("n"), column).limit(MOST).collect()]
-    return F.when(F.col(column).isNull(), F.lit("(none)")).when(F.col(column).isin(top), F.col(column)).otherwise(F.lit("(other)"))
-
-
 def mix(sizes: DataFrame, targets: DataFrame, met: float = 0.95, total: float | None = None, chunk_rows: int = 200_000) -> DataFrame:
     """doc_id, source, n_tokens, copies of every chosen document.
 
@@ -100,8 +102,12 @@ def mix(sizes: DataFrame, targets: DataFrame, met: float = 0.95, total: float |
     goals = [(r["source"], max(r["share"] or 0.0, 0.0), max(r["cap"] or 0, 0)) for r in targets.where(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("cap")).orderBy("source").collect()]
     names = [g[0] for g in goals]
     used = cut(sizes.where(F.col("source").isin(names) & (F.col("n_tokens") > 0)).select("doc_id", "source", "lang", "topic", "n_tokens"))
-    named = cut(used.select("doc_id", "source", _frequent(used, "lang").alias("lang"), _frequent(used, "topic").alias("topic"), "n_tokens"))
-    rows = named.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")).orderBy("source", "lang", "topic").collect()
+    named = used.select("doc_id", "source", *[F.coalesce(F.concat(F.lit("="), c), F.lit("(none)")).alias(c) for c in ("lang", "topic")], "n_tokens")
+    cells_df = cut(named.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")))
+    if (n_cells := cells_df.count()) > MAX_CELLS:
+        raise ValueError(f"{n_cells} combinations of source, language and topic: more than {MAX_CELLS} can't be raked as one table of marginals")
+    few = F.broadcast if n_cells <= BROADCAST_CELLS else (lambda df: df)
+    rows = sorted(cells_df.collect(), key=lambda r: (r["source"], r["lang"], r["topic"]))
     empty = "doc_id long, source string, n_tokens long, copies int"
     if not rows:
         return sizes.sparkSession.createDataFrame([], empty)
@@ -114,10 +120,10 @@ def mix(sizes: DataFrame, targets: DataFrame, met: float = 0.95, total: float |
     expected = np.minimum(weights / cells.tokens, cells.cap)
 
     plan = named.sparkSession.createDataFrame([(r["source"], r["lang"], r["topic"], float(e)) for r, e in zip(rows, expected)], "source string, lang string, topic string, expected double")
-    # cells are few and bounded; a document's rank in its cell runs along the sizes, in chunks of size class and hash
+    # a document's rank in its cell runs along the sizes, in chunks of size class and hash
     chunks = -(-max(r["docs"] for r in rows) // chunk_rows)
     size_class = F.floor(F.log2(F.col("n_tokens").cast("double")) * 8).cast("long")
-    ordered = named.join(F.broadcast(plan), ["source", "lang", "topic"]).withColumn("chunk", size_class * chunks + hash_chunk(["doc_id"], chunks)).withColumn("one", F.lit(1))
+    ordered = named.join(few(plan), ["source", "lang", "topic"]).withColumn("chunk", size_class * chunks + hash_chunk(["doc_id"], chunks)).withColumn("one", F.lit(1))
     ranked = cut(prefix_sums(ordered, ["source", "lang", "topic"], ["n_tokens", "doc_id"], {"rank": "one"}, "chunk"))
 
     def copies(phase: Column) -> Column:
@@ -136,11 +142,14 @@ def mix(sizes: DataFrame, targets: DataFrame, met: float = 0.95, total: float |
         owed[key[0]] -= by_cell[key][k]
         phases.append((*key, k / PHASES))
     phase = named.sparkSession.createDataFrame(phases, "source string, lang string, topic string, phase double")
-    return ranked.join(F.broadcast(phase), ["source", "lang", "topic"]).select("doc_id", "source", "n_tokens", copies(F.col("phase")).alias("copies")).where(F.col("copies") > 0)
+    return ranked.join(few(phase), ["source", "lang", "topic"]).select("doc_id", "source", "n_tokens", copies(F.col("phase")).alias("copies")).where(F.col("copies") > 0)
 
 
 def share_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """source, target_share, max_repeats, n_docs, n_tokens, actual_share, most_copies of every target."""
+    """source, target_share, max_repeats, n_docs, n_tokens, actual_share, most_copies of every target.
+
+    With ``met`` below 1 small sources miss their share, and all others have more than theirs by what is missing.
+    """
     sums = mixed.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("n_tokens") * F.col("copies")).alias("n_tokens"), F.max("copies").alias("most_copies"))
     sums = sums.withColumn("total", F.sum("n_tokens").over(Window.partitionBy()))  # a row per configured source
     zero = F.lit(0)

@@ -57,10 +57,10 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
 # --- 9: mixing
 
 
-def _mixed(spark: SparkSession, folder: str) -> DataFrame:
+def _mixed(spark: SparkSession, folder: str, met: float = 0.95) -> DataFrame:
     topic = F.split("pipeline_name", "_")
     sizes = _sizes(spark, folder, "source", "lang", "pipeline_name").withColumn("topic", F.get(topic, 1))
-    return mixing.mix(sizes, table(spark, folder, "mix_target"))
+    return mixing.mix(sizes, table(spark, folder, "mix_target"), met)
 
 
 def p9_mixed(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,6 +71,11 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.share_report(_mixed(spark, folder), table(spark, folder, "mix_target"))
 
 
+def p9_exact_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares where every source that is there reaches its target; the smallest one sets the total."""
+    return mixing.share_report(_mixed(spark, folder, 1.0), table(spark, folder, "mix_target"))
+
+
 # --- 10: abusive, hateful or sexual content
 
 
@@ -87,7 +92,7 @@ def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.rates(p10_scores(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_records, p8_packed, p8_fill, p9_mixed, p9_shares, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p6_found, p6_records, p8_packed, p8_fill, p9_mixed, p9_shares, p9_exact_shares, p10_found, p10_scores, p10_rates)}
 
 _P6 = r"""
 fields AS (SELECT record_id, row_json, unnest(json_keys(row_json)) AS name FROM raw_record WHERE row_json IS NOT NULL),

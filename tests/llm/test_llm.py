@@ -127,6 +127,26 @@ def test_raking():
     x = mixing.rake(cells, shares, total)
     assert np.bincount(cells.source, x) == pytest.approx(shares * total) and (x <= cells.tokens * cells.cap + 1e-9).all()
     assert mixing.feasible_total(shares, np.array([400.0, 200, 1]), 0.85) == pytest.approx(500)
+    # the exact way: the smallest source that is there sets the total
+    assert mixing.feasible_total(shares, np.array([400.0, 200, 1]), 1.0) == pytest.approx(10)
+    assert mixing.feasible_total(shares, np.array([400.0, 200, 0]), 1.0) == pytest.approx(500)
+    y = mixing.rake(cells, shares, 50.0)
+    assert np.bincount(cells.source, y) == pytest.approx(shares * 50)
+
+
+def test_many_topics_stay_apart(spark, monkeypatch):
+    docs = [(i, "a", "en", f"t{i % 100}", 10 + i % 7) for i in range(2000)] + [(5000 + i, "b", None, None, 20) for i in range(50)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, lang string, topic string, n_tokens long")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    out = mixing.mix(df, targets, met=1.0)
+    report = {r["source"]: r["actual_share"] for r in mixing.share_report(out, targets).collect()}
+    assert report["a"] == pytest.approx(0.5, abs=0.02)
+    # every topic gives about as much as every other, none is taken together with others
+    per = out.where("source = 'a'").join(df.select("doc_id", "topic"), "doc_id").groupBy("topic").agg(F.sum("n_tokens").alias("n")).collect()
+    assert len(per) > 60 and max(r["n"] for r in per) <= 40
+    monkeypatch.setattr(mixing, "MAX_CELLS", 10)
+    with pytest.raises(ValueError, match="combinations"):
+        mixing.mix(df, targets)
 
 
 @pytest.mark.parametrize("chunk", [200_000, 50])
