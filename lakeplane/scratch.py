@@ -41,19 +41,32 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def cut(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back."""
-    spark = df.sparkSession
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it isn't there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, deleted at the end of the session."""
     app = spark.sparkContext.applicationId
-    path = f"{folder(spark)}/lakeplane/{app}/{uuid.uuid4().hex}"
     if app not in _WRITTEN:
         _WRITTEN[app] = set()
         atexit.register(_clean, spark, app)
+    path = f"{folder(spark)}/lakeplane/{app}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN[app].add(path)
+    return path
+
+
+def cut(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back."""
+    spark = df.sparkSession
+    path = fresh_path(spark, "cut")
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    _WRITTEN[app].add(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
