@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeplane import scratch
 from lakeplane.llm import duplicates, mixing, packing, tokens, toxicity
 from lakeplane.plans.tables import table
 from lakeplane.scratch import cut
@@ -20,7 +21,10 @@ def _ledger(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     keyed = cut(duplicates.with_keys(records.withColumn("at", F.unix_micros("_bronze_ingest_ts")), "record_id", "row_json", extra=["at"]))
     edges = keyed.agg(F.percentile_approx("at", [k / LEDGER_BATCHES for k in range(1, LEDGER_BATCHES)], 1000)).first()[0] or []
     batch = F.coalesce(F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<bigint>"), lambda e: e < F.col("at"))), F.lit(0))
-    return keyed, duplicates.build_ledger(keyed.where(batch == k) for k in range(len(edges) + 1))
+    ledger = duplicates.Ledger(spark, scratch.fresh_path(spark, "ledger"))
+    for k in range(len(edges) + 1):
+        ledger.update(keyed.where(batch == k), f"batch {k}")
+    return keyed, ledger.read()
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -65,7 +65,7 @@ _OTHER = re.compile(r"(?:[^\w'\n]|_)+")
 _DIGITS = re.compile(r"\b\w*\d\w*")
 _BREAK = re.compile(r" *\n *")
 #: Characters without a shape, such as zero-width joiners and soft hyphens.
-_SHAPELESS = re.compile("[" + "".join(chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cf") + "]+")
+_SHAPELESS = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Cf")
 
 
 def sentences(text: str) -> list[str]:
@@ -78,7 +78,8 @@ def normalise_lines(lines: Sequence[str]) -> str:
     Lines are joined by line feeds and are treated at once; they mustn't hold any.
     """
     t = unicodedata.normalize("NFKC", "\n".join(lines)).casefold()
-    t = t if t.isascii() else _SHAPELESS.sub("", t)
+    for c in () if t.isascii() else _SHAPELESS.intersection(t):
+        t = t.replace(c, "")
     t = _SPEAKER.sub("", t)
     t = _HYPHENS.sub(lambda m: re.sub(r"[-.*_ ]", "", m[0]), t)
     t = _LEET.sub(lambda m: _LEET_TO[m[0]], t)

@@ -42,25 +42,46 @@ def records() -> list[tuple[int, str | None]]:
 
 
 @pytest.mark.parametrize("batches", [1, 3])
-def test_ledger_matches_brute_force(spark, batches):
+def test_ledger_matches_brute_force(spark, tmp_path, batches):
     data = records()
-    keyed = duplicates.with_keys(spark.createDataFrame(data, "id long, j string"), "id", "j", buckets=5)
-    ledger = duplicates.build_ledger(keyed.where(F.col("record_id") % batches == k) for k in range(batches))
+    keyed = duplicates.with_keys(spark.createDataFrame(data, "id long, j string"), "id", "j")
+    ledger = duplicates.Ledger(spark, str(tmp_path), 4, 3 if batches == 3 else 1000)
+    for k in range(batches):
+        ledger.update(keyed.where(F.col("record_id") % batches == k))
+    assert ledger.buckets == 4 if batches == 1 else ledger.buckets > 4
     groups = defaultdict(list)
     for i, j in data:
         if i < 5000:
             groups[canonical(j)].append(i)
     groups["text"] = [5001, 5002]
     want = {(min(g), i) for g in groups.values() for i in g if i != min(g)}
-    assert set(rows(duplicates.copies(keyed, ledger))) == want
-    assert sorted(r["n_copies"] for r in ledger.collect()) == sorted([len(g) for g in groups.values()] + [1])
-
-
-def test_empty_batches(spark):
+    assert set(rows(duplicates.copies(keyed, ledger.read()))) == want
+    assert sorted(r["n_copies"] for r in ledger.read().collect()) == sorted([len(g) for g in groups.values()] + [1])
+
+
+def test_ledger_outlives_the_run_and_writes_touched_buckets_only(spark, tmp_path):
+    rows_ = [(i, f'{{"a": "{i}"}}') for i in range(200)]
+    keyed = duplicates.with_keys(spark.createDataFrame(rows_, "id long, j string"), "id", "j").persist()
+    first = duplicates.Ledger(spark, str(tmp_path), 16)
+    assert len(first.update(keyed, "one")) == 16
+    again = duplicates.Ledger(spark, str(tmp_path))
+    assert again.buckets == 16 and again.where == first.where and again.update(keyed, "one") == []
+    touched = again.update(keyed.where("record_id = 7"), "two")
+    assert len(touched) == 1 and {b for b, v in again.where.items() if v == 2} == set(touched)
+    files = {p.split("/data/")[1].split("/")[0] for p in again.read(b for b in range(16) if b not in touched).inputFiles()}
+    assert files == {"000000001"}
+    counts = {r["first_record_id"]: r["n_copies"] for r in duplicates.Ledger(spark, str(tmp_path)).read().collect()}
+    assert counts == {i: 2 if i == 7 else 1 for i in range(200)}
+
+
+def test_empty_batches(spark, tmp_path):
     empty = duplicates.with_keys(spark.createDataFrame([], "id long, j string"), "id", "j")
     some = duplicates.with_keys(spark.createDataFrame([(1, '{"a": null}'), (2, '{"a": ""}'), (3, "{}")], "id long, j string"), "id", "j")
-    ledger = duplicates.build_ledger([empty, some, empty])
-    assert ledger.count() == 3 and duplicates.copies(some, ledger).count() == 0
+    ledger = duplicates.Ledger(spark, str(tmp_path))
+    assert ledger.read().count() == 0
+    for batch in (empty, some, empty):
+        ledger.update(batch)
+    assert ledger.read().count() == 3 and duplicates.copies(some, ledger.read()).count() == 0
 
 
 # --- tokens
