@@ -75,7 +75,42 @@ found AS (
   UNION ALL SELECT object_id, ts, 'COLUMN_ADDED', name, '' FROM come ANTI JOIN (SELECT object_id, ts, new AS name FROM renamed) r USING (object_id, ts, name)),
 logged AS (SELECT object_id, column_name, CAST(detected_at AS DATE) AS day, count(*) AS n_logged FROM schema_drift_event GROUP BY ALL)"""
 
+#: Columns that hold numbers, of the profiled tables, and the SQL of each table's loads.
+_NUMBERS = {
+    "dq_result": "failed_count passed_count", "dq_rule": "min_value max_value", "fact_sales_order": "sales_order_id sales_order_detail_id customer_key product_key territory_key order_qty unit_price line_total",
+    "dim_customer": "customer_key customer_id store_id territory_key", "stage_dim_customer": "customer_key customer_id store_id territory_key", "bronze_product": "product_id standard_cost list_price", "file_row": "record_key",
+    "raw_record": "record_id", "documents": "doc_id n_chars", "doc_label": "doc_id toxic", "gold_dependency": "", "source_object": "source_id", "source_column": "", "schema_drift_event": "",
+}
+_TIMES = {
+    "dq_result": "evaluated_at", "fact_sales_order": "order_date _gold_updated_at", "dim_customer": "_effective_start_ts _effective_end_ts _gold_updated_at", "stage_dim_customer": "_effective_start_ts _staged_at",
+    "bronze_product": "modified_date _bronze_ingest_ts", "file_row": "landed_at", "raw_record": "_bronze_ingest_ts", "documents": "written_at", "source_column": "discovered_at", "schema_drift_event": "detected_at",
+}
+_LOADS = {
+    "dq_result": "run_id", "fact_sales_order": "_gold_run_id", "dim_customer": "_gold_run_id", "stage_dim_customer": "_run_id", "bronze_product": "_run_id", "file_row": "{landed_at}", "raw_record": "{_bronze_ingest_ts}",
+    "documents": "substr(written_at, 1, 10)", "source_column": "{discovered_at}", "schema_drift_event": "run_id",
+}
+
+
+def _standard(name: str) -> str:
+    text = lambda c: f"regexp_replace(regexp_replace(strftime({c}, '%Y-%m-%d %H:%M:%S.%f'), '0+$', ''), '[.]$', '')"
+    times, numbers = _TIMES.get(name, "").split(), ", ".join(f"'{c}'" for c in _NUMBERS[name].split()) or "''"
+    load = _LOADS.get(name, "''")
+    load = load[1:-1] if load[0] == "{" else load
+    replaced = f" REPLACE ({', '.join(f'{text(c)} AS {c}' for c in times)})" if times else ""
+    return f"""SELECT '{name}' AS table_name, "column", load, count(*) AS n_rows, round(count(*) FILTER (value IS NULL) / count(*), 6) AS null_rate, count(DISTINCT value) AS n_distinct,
+          min(value) FILTER ("column" NOT IN ({numbers})) AS min_value, max(value) FILTER ("column" NOT IN ({numbers})) AS max_value,
+          min(CASE WHEN "column" IN ({numbers}) THEN TRY_CAST(value AS DOUBLE) END) AS min_number, max(CASE WHEN "column" IN ({numbers}) THEN TRY_CAST(value AS DOUBLE) END) AS max_number
+        FROM (SELECT * FROM (SELECT {load} AS load, CAST(COLUMNS(t.*) AS VARCHAR) FROM (SELECT *{replaced} FROM {name}) t) UNPIVOT INCLUDE NULLS (value FOR "column" IN (COLUMNS(* EXCLUDE (load))))) GROUP BY ALL"""
+
+
 SQL = {
+    "p1_descendant_counts": r"""WITH RECURSIVE
+        sides AS (SELECT regexp_replace(parent_gold_object_id, '^\s+|\s+$', '', 'g') AS parent, regexp_replace(child_gold_object_id, '^\s+|\s+$', '', 'g') AS child FROM gold_dependency),
+        links AS (SELECT DISTINCT parent, child FROM sides WHERE parent IS NOT NULL AND child IS NOT NULL),
+        nodes AS (SELECT parent AS node FROM sides WHERE parent IS NOT NULL UNION SELECT child FROM sides WHERE child IS NOT NULL),
+        reach AS (SELECT parent AS a, child AS b FROM links UNION SELECT r.a, l.child FROM reach r JOIN links l ON l.parent = r.b)
+        SELECT node AS gold_object_id, CAST(count(DISTINCT b) FILTER (b <> node) AS BIGINT) AS n_descendants FROM nodes LEFT JOIN reach ON a = node GROUP BY node""",
+    "p3_standard": " UNION ALL ".join(_standard(name) for name in _NUMBERS),
     "p1_found": f"""WITH RECURSIVE {_NODES}
         SELECT node AS gold_object_id, root AS root_gold_object_id, CAST(max(depth) AS BIGINT) AS depth FROM ways GROUP BY node, root
         UNION ALL SELECT node, '', CAST(-1 AS BIGINT) FROM touched""",

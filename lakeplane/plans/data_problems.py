@@ -33,6 +33,12 @@ def p1_descendants(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(F.col("node").alias("gold_object_id"), F.col("head").alias("tree"), "lft", "rgt")
 
 
+def p1_descendant_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """A node's ranges don't overlap, so their lengths add up to its descendants and itself."""
+    out = p1_descendants(spark, folder).groupBy("gold_object_id").agg((F.sum(F.col("rgt") - F.col("lft") + 1) - 1).alias("n_descendants"))
+    return out
+
+
 # --- 2: references
 
 REFERENCES = [
@@ -153,4 +159,4 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(F.col("source").alias("object_id"), F.col("at").alias("snapshot_us"), "record_key", "change")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_report, p3_found, p3_profile, p3_standard, p3_expressions, p4_found, p4_log_check, p4_columns, p4_unified, p5_found, p5_history, p7_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p1_descendant_counts, p2_found, p2_report, p3_found, p3_profile, p3_standard, p3_expressions, p4_found, p4_log_check, p4_columns, p4_unified, p5_found, p5_history, p7_found)}
