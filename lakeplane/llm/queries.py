@@ -58,6 +58,18 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill_report(p8_packed(spark, folder), table(spark, folder, "pack_capacity"))
 
 
+def p8_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """pack_id, n_docs, and what mustn't be: containers over capacity or with gaps in their places, texts split though they fit, pieces out of order."""
+    capacities = table(spark, folder, "pack_capacity").where(F.col("capacity_tokens") > 0).select("pack_id", "capacity_tokens")
+    packed = cut(p8_packed(spark, folder)).join(F.broadcast(capacities), "pack_id")  # configured, a few rows
+    box = packed.groupBy("pack_id", "container_id").agg(F.sum("n_tokens").alias("t"), F.max("capacity_tokens").alias("c"), F.count(F.lit(1)).alias("n"), F.countDistinct("place").alias("d"), F.min("place").alias("lo"), F.max("place").alias("hi"))
+    doc = packed.groupBy("pack_id", "doc_id").agg(F.sum("n_tokens").alias("t"), F.max("capacity_tokens").alias("c"), F.count(F.lit(1)).alias("n"), F.countDistinct("piece").alias("d"), F.max("piece").alias("hi"))
+    count = lambda c, name: F.sum(c.cast("long")).alias(name)
+    boxes = box.groupBy("pack_id").agg(count(F.col("t") > F.col("c"), "n_over"), count((F.col("d") != F.col("n")) | (F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1), "n_gaps"))
+    docs = doc.groupBy("pack_id").agg(F.count(F.lit(1)).alias("n_docs"), count((F.col("n") > 1) & (F.col("t") <= F.col("c")), "n_split"), count((F.col("d") != F.col("n")) | (F.col("hi") != F.col("n") - 1), "n_disordered"))
+    return docs.join(boxes, "pack_id").select("pack_id", "n_docs", "n_over", "n_gaps", "n_split", "n_disordered")
+
+
 # --- 9: mixing
 
 
@@ -75,6 +87,18 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.share_report(_mixed(spark, folder), table(spark, folder, "mix_target"))
 
 
+def p9_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """source, and what mustn't be: documents chosen twice, with more copies than allowed, or of another source."""
+    mixed = _mixed(spark, folder)
+    targets = table(spark, folder, "mix_target").select("source", "max_repeats")
+    documents = table(spark, folder, "documents").select("doc_id", F.col("source").alias("own"))
+    used = mixed.groupBy("doc_id", "source").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n")).join(documents, "doc_id", "left").join(F.broadcast(targets), "source")  # configured
+    count = lambda c, name: F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(name)
+    out = used.groupBy("source").agg(count(F.col("n") > 1, "n_twice"), count(F.col("copies") > F.col("max_repeats"), "n_over"), count(~F.col("own").eqNullSafe(F.col("source")), "n_foreign"))
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_twice", "n_over", "n_foreign")]
+    return targets.select("source").join(out, "source", "left").select("source", *zero)
+
+
 def p9_exact_shares(spark: SparkSession, folder: str) -> DataFrame:
     """Shares where every source that is there reaches its target; the smallest one sets the total."""
     return mixing.share_report(_mixed(spark, folder, 1.0), table(spark, folder, "mix_target"))
@@ -96,7 +120,7 @@ def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.rates(p10_scores(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_records, p8_packed, p8_fill, p9_mixed, p9_shares, p9_exact_shares, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p6_found, p6_records, p8_packed, p8_fill, p8_invariants, p9_mixed, p9_shares, p9_exact_shares, p9_invariants, p10_found, p10_scores, p10_rates)}
 
 _P6 = r"""
 fields AS (SELECT record_id, row_json, unnest(json_keys(row_json)) AS name FROM raw_record WHERE row_json IS NOT NULL),
@@ -106,6 +130,8 @@ keyed AS (SELECT record_id, string_agg(name || '=' || value, '|' ORDER BY name,
 grouped AS (SELECT record_id, key, min(record_id) OVER (PARTITION BY key) AS first_record_id, count(*) OVER (PARTITION BY key) AS n_copies FROM keyed)"""
 
 SQL = {
+    "p8_invariants": "SELECT pack_id, (SELECT count(*) FROM documents) AS n_docs, CAST(0 AS BIGINT) AS n_over, CAST(0 AS BIGINT) AS n_gaps, CAST(0 AS BIGINT) AS n_split, CAST(0 AS BIGINT) AS n_disordered FROM pack_capacity WHERE capacity_tokens > 0",
+    "p9_invariants": "SELECT source, CAST(0 AS BIGINT) AS n_twice, CAST(0 AS BIGINT) AS n_over, CAST(0 AS BIGINT) AS n_foreign FROM mix_target",
     "p6_found": f"WITH {_P6} SELECT first_record_id, record_id FROM grouped WHERE record_id <> first_record_id",
     "p6_records": f"WITH {_P6} SELECT first_record_id, n_copies, row_json FROM grouped JOIN raw_record USING (record_id) WHERE record_id = first_record_id",
 }
