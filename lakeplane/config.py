@@ -9,6 +9,8 @@ from pathlib import Path
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeplane.storage import TableStore
+
 # The columns of the authored tables, their types, keys and references.
 TABLES = {
     "datasource": "source_id int, source_name string, source_type string, database_name string, load_group int, ingestion_mode string, is_active boolean, connector string, connection_json string, secret_name string",
@@ -92,6 +94,21 @@ class Config:
             clean = [{c: int(v) if isinstance(v, float) and v.is_integer() else v for c, v in r.items() if v is not None} for r in self.ordered(name)]
             Path(folder, f"{name}.yml").write_text(yaml.safe_dump({name: clean}, sort_keys=False, allow_unicode=True), encoding="utf-8")
 
+    def keep(self, store: TableStore, *names: str) -> None:
+        """Put tables into the store, so that what a run registers is there for the next one."""
+        for name in names or TABLES:
+            store.write(self.frame(store.spark, name), "config", f"authored_{name}")
+
+    @classmethod
+    def kept(cls, store: TableStore, authored: Config | None = None) -> Config:
+        """The stored tables; rows that are authored by key take the place of stored ones."""
+        tables = {}
+        for name in TABLES:
+            rows = [r.asDict() for r in store.read("config", f"authored_{name}").collect()] if store.exists("config", f"authored_{name}") else []
+            key = lambda r: tuple(r[k] for k in KEYS[name])  # noqa: B023, E731
+            tables[name] = list(({key(r): r for r in rows} | {key(r): r for r in (authored.tables[name] if authored else [])}).values())
+        return cls(tables)
+
     def ordered(self, name: str) -> list[Row]:
         return sorted(self.tables[name], key=lambda r: [str(r[k]) for k in KEYS[name]])
 
@@ -99,7 +116,7 @@ class Config:
         return [r for r in self.tables[name] if r.get("is_active", True) and all(r[k] == v for k, v in equal.items())]
 
     def frame(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.createDataFrame([tuple(r.values()) for r in self.tables[name]], TABLES[name])
+        return spark.createDataFrame([tuple(r.get(c) for c in columns(name)) for r in self.tables[name]], TABLES[name])
 
     def register_views(self, spark: SparkSession) -> None:
         for name in TABLES:

@@ -103,9 +103,9 @@ def json_field(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").groupBy(F.concat(F.lit("p"), F.get_json_object("props", "$.k")).alias("page")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT doc_id, lang AS meta_lang, source AS meta_source, '[\"' || lang || '\"]' AS tags FROM documents WHERE lang IS NOT NULL")
+@query("SELECT doc_id, lang AS meta_lang, source AS meta_source, coalesce('[\"' || lang || '\"]', '[null]') AS tags FROM documents")
 def json_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    df = table(spark, folder, "documents").where(F.col("lang").isNotNull()).select("doc_id", F.struct("lang", "source").alias("meta"), F.array("lang").alias("tags"))
+    df = table(spark, folder, "documents").select("doc_id", F.struct("lang", "source").alias("meta"), F.array("lang").alias("tags"))
     return shape.flatten(df)
 
 
@@ -228,9 +228,9 @@ def cleanse_trim(spark: SparkSession, folder: str) -> DataFrame:
     return _cleansed(spark, folder, "raw_record", ["record_id", "file_name"], ("trim", "file_name", "{}"))
 
 
-@query("SELECT doc_id, nullif(lower(regexp_replace(trim(text, ' '), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), '') AS text FROM documents WHERE lang = 'en'")
+@query("SELECT doc_id, nullif(lower(regexp_replace(trim(text, ' '), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), '') AS text FROM documents")
 def cleanse_normalize(spark: SparkSession, folder: str) -> DataFrame:
-    df = table(spark, folder, "documents").where(F.col("lang") == "en").select("doc_id", "text")
+    df = table(spark, folder, "documents").select("doc_id", "text")
     return apply_cleansing(df, [{"function": "normalize_text", "columns": "text", "parameters_json": '{"case": "lower"}'}])
 
 

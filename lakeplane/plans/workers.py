@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeplane.audit import Audit
-from lakeplane.config import Config
+from lakeplane.config import Config, columns
 from lakeplane.functions.cleanse import apply_cleansing
 from lakeplane.functions.hashing import business_columns, with_row_hash
 from lakeplane.naming import landed_table, physical_names, snake, utc_now
@@ -22,7 +22,9 @@ from lakeplane.operators.dimensions import gold_merge
 from lakeplane.operators.effective_history import observe, reconcile, seed
 from lakeplane.operators.shape import apply_select, stamp_bronze
 from lakeplane.operators.upsert import latest_per_key, mark_deleted, parity, upsert
+from lakeplane.plans import mirror
 from lakeplane.plans.dag import topo_levels
+from lakeplane.scratch import cut, release
 from lakeplane.sources import extract
 from lakeplane.sources.databases import watermarked
 from lakeplane.sources.files import read_file
@@ -88,22 +90,29 @@ def bronze(ctx: Context, obj: Object, run_id: str) -> Commit | None:
     def work() -> Commit:
         schema, table = landed_table(obj)
         object_id = str(obj["object_id"])
-        if resolve(obj) in ("file", "dropbox"):
+        version = None
+        if mirror.is_mirrored(obj):
+            pinned = mirror.pinned(ctx.spark, obj, ctx.audit.watermark(object_id))
+            if pinned is None:  # nothing new: no batch, so that nothing looks removed
+                ctx.audit.log_load(run_id, object_id, "bronze", "SKIPPED", details={"reason": "version unchanged"})
+                return ctx.store.commit("bronze", table, schema)
+            version, df = pinned
+        elif resolve(obj) in ("file", "dropbox"):
             df, pairs = read_file(ctx.spark, obj)
             ctx.audit.record_column_map(object_id, schema, table, pairs)
         else:
             df = extract(ctx.spark, obj)
-        df = watermarked(df, obj, ctx.audit.watermark(object_id))
+        df = df if version is not None else watermarked(df, obj, ctx.audit.watermark(object_id))
         mark = str(obj.get("watermark_column") or "")
-        mark = mark if str(obj.get("load_type") or "").lower() == "incremental" and mark in df.columns else ""
+        mark = mark if version is None and str(obj.get("load_type") or "").lower() == "incremental" and mark in df.columns else ""
         seen = {"watermark": F.max(mark)} if mark else {}
         label = ".".join(str(p) for p in (obj.get("source_schema"), obj.get("source_table")) if p)
         if mark and mark not in apply_select(df, options(obj).get("select")).columns:
             raise ValueError(f"object {object_id!r}: its selection leaves out the watermark column {mark!r}")
         rows = stamp_bronze(apply_select(df, options(obj).get("select")), run_id, str(obj.get("source_name") or ""), label, utc_now())
         commit = ctx.store.write(rows, "bronze", table, schema, "append", run_id, observe=seen)
-        if mark:
-            ctx.audit.set_watermark(object_id, commit.stats.get("watermark"))
+        if mark or version is not None:
+            ctx.audit.set_watermark(object_id, commit.stats.get("watermark") if version is None else version)
         ctx.audit.log_load(run_id, object_id, "bronze", "SUCCEEDED", source=commit.rows, target=commit.rows)
         return commit
 
@@ -149,21 +158,19 @@ def silver(ctx: Context, obj: Object, run_id: str, allow_empty_snapshot: bool =
         rules = ctx.config.active("dq_rule", object_id=object_id)
         current = silver_rows(plan, rows, latest, ctx.config.active("cleanse_rule", object_id=object_id))
         checked, seen = quality.observed(quality.evaluate(current, rules), rules)
-        scratch = store.write(checked, "work", f"{plan.table}_checked", plan.schema, "overwrite", run_id)
-        counts = seen.get
-        checked = store.read("work", f"{plan.table}_checked", plan.schema, scratch.version)
+        checked = written = cut(checked)
+        counts, at = seen.get, utc_now()  # one time for all that this run writes
         if rules:
-            at = utc_now()
             ctx.audit.append("dq_result", [{"run_id": run_id, "object_id": object_id, "rule_id": r["rule_id"], "failed_count": counts[f"failed_{i}"], "passed_count": counts["rows"] - counts[f"failed_{i}"], "status": "FAIL" if counts[f"failed_{i}"] else "PASS", "evaluated_at": at} for i, r in enumerate(rules)])
         good, bad = quality.split(checked)
         if counts["rejected"]:
-            store.write(bad.withColumns({"_run_id": F.lit(run_id), "_quarantined_at": F.lit(utc_now())}), "silver", f"quarantine_{plan.table}", plan.schema, "append", run_id)
-        good = with_row_hash(good).withColumns({"_silver_run_id": F.lit(run_id), "_silver_updated_at": F.lit(utc_now())})
+            store.write(bad.withColumns({"_run_id": F.lit(run_id), "_quarantined_at": F.lit(at)}), "silver", f"quarantine_{plan.table}", plan.schema, "append", run_id)
+        good = with_row_hash(good).withColumns({"_silver_run_id": F.lit(run_id), "_silver_updated_at": F.lit(at)})
         if not plan.keys:
             commit = store.write(good.dropDuplicates(["_row_hash"]), "silver", plan.table, plan.schema, "overwrite", run_id)
         else:
             deleting = plan.soft_delete and (newest.rows or allow_empty_snapshot)
-            gone_at = F.lit(latest.agg(F.max("_bronze_ingest_ts")).first()[0] or utc_now()) if deleting else None
+            gone_at = F.lit(latest.agg(F.max("_bronze_ingest_ts")).first()[0] or at) if deleting else None
 
             def change(old: DataFrame | None) -> DataFrame:
                 if old is not None:
@@ -173,6 +180,7 @@ def silver(ctx: Context, obj: Object, run_id: str, allow_empty_snapshot: bool =
 
             commit = store.update("silver", plan.table, change, plan.schema, run_id)
         ctx.audit.log_load(run_id, object_id, "silver", "SUCCEEDED", source=counts["rows"], target=commit.rows, quarantine=counts["rejected"])
+        release(written)
         return commit
 
     return _guarded(ctx, "silver", obj, run_id, work)
@@ -246,9 +254,11 @@ def metadata(ctx: Context, load_group: int, run_id: str) -> dict[str, int]:
         for c in found or []:
             if (c["source_schema"], c["source_table"]) not in known:
                 new += 1
-                row = dict.fromkeys(ctx.config.tables["source_object"][0] if ctx.config.tables["source_object"] else [])
+                row = dict.fromkeys(columns("source_object"))
                 row |= {"object_id": "_".join(str(p) for p in (source["source_name"], c["source_schema"], c["source_table"]) if p).lower(), "source_id": source["source_id"], "source_schema": c["source_schema"], "source_table": c["source_table"], "load_type": "full", "key_columns_json": json.dumps(c["key_columns"]), "is_active": False, "processing_state": "ACTIVE"}
                 ctx.config.tables["source_object"].append(row)
+    if new:
+        ctx.config.keep(ctx.store, "source_object")
     at = utc_now()
     rows = []
     for o in ctx.config.objects(load_group):

@@ -5,11 +5,13 @@ from __future__ import annotations
 import importlib
 import json
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StructType, TimestampNTZType, TimestampType
 
 from lakeplane.operators.shape import newer_than
 from lakeplane.sources.registry import Source, connection, connector, options
@@ -102,9 +104,26 @@ class _Ranges(InputPartition):
         self.query = query
 
 
+def _converter(kind: DataType) -> Callable[[object], object]:
+    """From what drivers give to what a column of the type takes; values that don't fit are an error."""
+    if isinstance(kind, (ByteType, ShortType, IntegerType, LongType)):
+        return int
+    if isinstance(kind, (FloatType, DoubleType)):
+        return float
+    if isinstance(kind, DecimalType):
+        return lambda v: Decimal(str(v))
+    if isinstance(kind, BooleanType):
+        return lambda v: v.strip().lower() in ("1", "t", "true", "y", "yes") if isinstance(v, str) else bool(v)
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return lambda v: datetime.fromisoformat(v) if isinstance(v, str) else v
+    if isinstance(kind, DateType):
+        return lambda v: date.fromisoformat(v) if isinstance(v, str) else v.date() if isinstance(v, datetime) else v
+    return bytes if isinstance(kind, BinaryType) else str
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, opts: dict[str, str]):
-        self.opts = opts
+    def __init__(self, opts: dict[str, str], schema: StructType):
+        self.opts, self.convert = opts, [_converter(f.dataType) for f in schema.fields]
 
     def partitions(self) -> list[InputPartition]:
         return [_Ranges(q) for q in json.loads(self.opts.get("queries", "null")) or [self.opts["query"]]]
@@ -114,7 +133,7 @@ class _Reader(DataSourceReader):
         for cursor in with_cursor:
             cursor.execute(partition.query)
             while rows := cursor.fetchmany(5_000):
-                yield from (tuple(None if v is None else str(v) for v in r) for r in rows)
+                yield from (tuple(None if v is None else to(v) for to, v in zip(self.convert, r)) for r in rows)
 
 
 def _cursor(opts: dict[str, str]):
@@ -133,7 +152,8 @@ def _cursor(opts: dict[str, str]):
 class DbApiSource(DataSource):
     """``format("dbapi")``: module, args, kwargs and query, or queries, of which each is read by a task of its own.
 
-    All columns are text, so that an empty result has the same schema as a full one.
+    Without a schema all columns are text, so that an empty result has the same schema as a full one; with one (``.schema(...)``)
+    values keep the types that it names.
     """
 
     @classmethod
@@ -147,12 +167,13 @@ class DbApiSource(DataSource):
         raise AssertionError
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(dict(self.options))
+        return _Reader(dict(self.options), schema)
 
 
-def read_dbapi(spark: SparkSession, module: str, query: str, *args: object, **kwargs: object) -> DataFrame:
+def read_dbapi(spark: SparkSession, module: str, query: str, *args: object, schema: str | None = None, **kwargs: object) -> DataFrame:
     spark.dataSource.register(DbApiSource)
-    return spark.read.format("dbapi").options(module=module, query=query, args=json.dumps(args), kwargs=json.dumps(kwargs)).load()
+    reader = spark.read.format("dbapi").schema(schema) if schema else spark.read.format("dbapi")
+    return reader.options(module=module, query=query, args=json.dumps(args), kwargs=json.dumps(kwargs)).load()
 
 
 def default_query(source: Source) -> str:
@@ -166,7 +187,7 @@ def oracle(spark: SparkSession, source: Source) -> DataFrame:
     if conn.get("mode") == "jdbc":
         return read_jdbc(spark, source)
     dsn = conn.get("dsn") or f"{conn.get('host')}:{conn.get('port', 1521)}/{conn.get('service') or conn.get('database')}"
-    return read_dbapi(spark, "oracledb", default_query(source), user=conn.get("user"), password=conn.get("password"), dsn=dsn)
+    return read_dbapi(spark, "oracledb", default_query(source), schema=options(source).get("schema"), user=conn.get("user"), password=conn.get("password"), dsn=dsn)
 
 
 @connector("db2")
@@ -175,11 +196,11 @@ def db2(spark: SparkSession, source: Source) -> DataFrame:
     if conn.get("mode") == "jdbc":
         return read_jdbc(spark, source)
     text = conn.get("connection_string") or "DATABASE={database};HOSTNAME={host};PORT={port};PROTOCOL=TCPIP;UID={user};PWD={password};".format_map({"port": 50000} | conn)
-    return read_dbapi(spark, "ibm_db_dbi", default_query(source), text, "", "")
+    return read_dbapi(spark, "ibm_db_dbi", default_query(source), text, "", "", schema=options(source).get("schema"))
 
 
 @connector("odbc")
 def odbc(spark: SparkSession, source: Source) -> DataFrame:
     conn = connection(source)
     text = str(conn.get("connection_string") or "").format(user=conn.get("user", ""), password=conn.get("password", ""))
-    return read_dbapi(spark, str(conn.get("module", "pyodbc")), default_query(source), text)
+    return read_dbapi(spark, str(conn.get("module", "pyodbc")), default_query(source), text, schema=options(source).get("schema"))

@@ -1,6 +1,6 @@
 """Intake of dropped files: in batches by scanning a folder, or as a stream; the same file is loaded once either way.
 
-``<folder>/<schema>/<name>.csv`` lands as table ``<schema>.<name>``; ``<name>__key=a,b.csv`` is a full snapshot keyed by a and b,
+``<schema>/.../<name>.csv`` (the first folder below the new files; ``dbo`` without one) lands as table ``<schema>.<name>``; ``<name>__key=a,b.csv`` is a full snapshot keyed by a and b,
 other files are keyless and mirror the latest drop. A ledger of content hashes makes a repeated drop do nothing.
 """
 
@@ -48,7 +48,7 @@ class Drop:
         if kind.lower() not in KINDS or not stem:
             raise ValueError(f"{parts[-1]!r} is no file that can be taken in: {KINDS}")
         name, _, keys = stem.partition("__key=")
-        schema = ident(parts[-2]) if len(parts) > 2 else "dropbox"
+        schema = ident(parts[1]) if len(parts) > 2 else "dbo"
         return cls(relative, schema, ident(name), kind.lower(), tuple(k.strip() for k in keys.split(",") if k.strip()))
 
 
@@ -84,6 +84,7 @@ def register(ctx: Context, drop: Drop, found: list[dict[str, object]]) -> None:
             known[o["object_id"]].update(row)
         else:
             ctx.config.tables["source_object"].append(row)
+    ctx.config.keep(ctx.store, "datasource", "source_object")
 
 
 def seen_before(ctx: Context, key: str, content_hash: str) -> bool:

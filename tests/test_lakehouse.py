@@ -26,7 +26,8 @@ from lakeplane.functions.masks import dynamic, keep_last
 from lakeplane.operators import discovery, effective_history, quality, shape
 from lakeplane.operators.dimensions import gold_merge, scd2
 from lakeplane.operators.upsert import latest_per_key, parity, require_unique, upsert
-from lakeplane.plans import runner, workers
+from lakeplane.naming import landed_table
+from lakeplane.plans import mirror, runner, workers
 from lakeplane.plans.dag import topo_levels
 from lakeplane.plans.workers import Context
 from lakeplane.scratch import cut
@@ -433,6 +434,83 @@ def test_dbapi(spark, tmp_path):
         read_dbapi(spark, "no_such_driver", "select 1").count()
 
 
+def test_dbapi_keeps_types(spark, tmp_path):
+    cn = sqlite3.connect(tmp_path / "d.db")
+    cn.executescript("create table t(a int, b real, c text, d text, e int, f text); insert into t values (7, 1.5, '12.30', '2024-02-03 04:05:06', 1, 'x'), (null, null, null, null, null, null);")
+    cn.commit()
+    cn.close()
+    schema = "a bigint, b double, c decimal(10,2), d timestamp, e boolean, f string"
+    out = read_dbapi(spark, "sqlite3", "select * from t order by a desc", str(tmp_path / "d.db"), schema=schema)
+    assert [t for _, t in out.dtypes] == ["bigint", "double", "decimal(10,2)", "timestamp", "boolean", "string"]
+    first = out.where("a is not null").first()
+    assert (first["a"], first["b"], str(first["c"]), first["d"].day, first["e"], first["f"]) == (7, 1.5, "12.30", 3, True, "x") and out.where("a is null and f is null").count() == 1
+
+
+def test_catalogues_are_asked(spark, ctx, monkeypatch):
+    """The catalogue queries run as they are on a database with an information schema."""
+    import duckdb
+    import pandas as pd
+
+    from lakeplane.operators import discovery
+    from lakeplane.sources import catalogs
+
+    con = duckdb.connect()
+    con.execute("create schema hr; create table hr.staff(id int, day date, x int, primary key(day, id)); create table hr.log(x int); create view hr.v as select 1 as a")
+
+    def run(source, sql):
+        return spark.createDataFrame(con.sql(sql).df().astype(object).where(lambda d: pd.notna(d), None), "t_s string, t_n string" + (", c_n string, ord long" if "c_n" in sql else ""))
+
+    try:
+        catalogs.register(run)
+        for connector in ("postgresql", "sqlserver"):
+            found = {(c["source_schema"], c["source_table"]): c["key_columns"] for c in discovery.discover({"connector": connector})}
+            assert sorted(found["hr", "staff"]) == ["day", "id"] and found["hr", "log"] == [] and ("hr", "v") not in found
+        ctx.config.tables["datasource"].append({"source_id": 9, "source_name": "pg", "source_type": "postgresql", "database_name": None, "load_group": 9, "ingestion_mode": None, "is_active": True, "connector": "postgresql", "connection_json": None, "secret_name": None})
+        assert workers.metadata(ctx, 9, "r1")["new_objects"] >= 2 and workers.metadata(ctx, 9, "r2")["new_objects"] == 0
+        again = Config.kept(ctx.store, Config({"datasource": [ctx.config.tables["datasource"][-1]]}))
+        assert {o["source_table"] for o in again.tables["source_object"]} >= {"staff", "log"} and not any(o["is_active"] for o in again.tables["source_object"] if o["source_id"] == 9)
+    finally:
+        catalogs.register()
+    asked = []
+    monkeypatch.setattr(catalogs, "extract", lambda s, o: asked.append(json.loads(o["source_options_json"])["query"]) or spark.createDataFrame([], "T_S string, T_N string, C_N string, ORD long"))
+    for connector in ("oracle", "db2", "mysql"):
+        assert discovery.discover({"connector": connector}) == []
+    assert len(asked) == 6 and any("all_tables" in q for q in asked) and any("syscat.tables" in q for q in asked)
+
+
+def test_mirrored_versions(ctx, spark, tmp_path):
+    source = TableStore(spark, str(tmp_path / "elsewhere"))
+    source.write(spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), "bronze", "t")
+    obj = {"object_id": "m", "source_id": 1, "source_name": "erp", "source_schema": None, "source_table": "t", "load_type": "full", "ingestion_mode": "mirror", "key_columns_json": '["id"]', "source_options_json": json.dumps({"mirror": {"root": source.root, "table": "t"}})}
+    first = workers.bronze(ctx, obj, "r1")
+    assert first.rows == 2 and ctx.audit.watermark("m") == "0"
+    assert workers.bronze(ctx, obj, "r2").version == first.version
+    source.write(spark.createDataFrame([(1, "a2")], "id int, v string"), "bronze", "t")
+    assert workers.bronze(ctx, obj, "r3").rows == 1 and ctx.audit.watermark("m") == "1"
+    workers.silver(ctx, obj, "r3")
+    schema, table = landed_table(obj)
+    assert rows(ctx.store.read("silver", table, schema).select("id", "v", "_is_deleted")) == [(1, "a2", False), (2, "b", True)]
+    pinned = obj | {"object_id": "p", "source_options_json": json.dumps({"mirror": {"root": source.root, "table": "t", "version": 0}})}
+    assert mirror.pinned(spark, pinned, None)[1].count() == 2 and mirror.pinned(spark, pinned, "0") is None
+    with pytest.raises(FileNotFoundError):
+        mirror.pinned(spark, obj | {"source_options_json": json.dumps({"mirror": {"root": source.root, "table": "none"}})}, None)
+
+
+def test_store_upkeep(ctx, spark):
+    s, one = ctx.store, spark.createDataFrame([(1,)], "a int")
+    for k in range(6):
+        s.write(one, "bronze", "t", mode="append", tag=f"q:{k}")
+    for late in (5, 2):
+        assert s.write(one, "bronze", "t", mode="append", tag=f"q:{late}").version == 5
+    s.write(one, "bronze", "t", mode="append", tag="other:0")
+    assert s.commit("bronze", "t").tags == {"q": "5", "other": "0"} and s.read("bronze", "t").count() == 7
+    s.compact("bronze", "t")
+    assert len(s.commit("bronze", "t").folders) == 1 and s.read("bronze", "t").count() == 7 and s.commit("bronze", "t").tags["q"] == "5"
+    assert s.vacuum("bronze", "t") == []
+    gone = s.vacuum("bronze", "t", keep_versions=1, older_than=timedelta(0))
+    assert len(gone) == 7 and s.versions("bronze", "t") == [7] and s.read("bronze", "t").count() == 7
+
+
 def test_connection_options(monkeypatch):
     monkeypatch.setenv("SECRET_CRM", '{"host": "h", "user": "u", "password": "p"}')
     conn = registry.connection({"secret_name": "crm", "connection_json": '{"database": "d"}'})
@@ -501,7 +579,7 @@ def test_stream_takes_each_file_once(ctx, spark, tmp_path):
 def test_paths_of_drops():
     d = intake.Drop.of("/x/newfile/My%20Schema/Sales__key=a,b.CSV")
     assert (d.schema, d.stem, d.kind, d.keys) == ("my_schema", "sales", "csv", ("a", "b"))
-    assert intake.Drop.of("plain.txt").schema == "dropbox"
+    assert intake.Drop.of("plain.txt").schema == "dbo" and intake.Drop.of("x/newfile/a/b/c.csv").schema == "a"
     with pytest.raises(ValueError):
         intake.Drop.of("newfile/x/readme")
 
