@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeplane.operators.grouped import prefix_sums, time_chunks
+from lakeplane.operators.grouped import previous_rows
 from lakeplane.scratch import cut
 
 #: One copy of the expression is paid for in so many rows.
@@ -217,24 +217,32 @@ def match(typed: DataFrame, forms: DataFrame) -> DataFrame:
     return out.select(*kept, F.coalesce(*[f"hit{k}" for k in range(len(KEYS))]).alias("level"), key.alias("key"))
 
 
-def coverage_changes(counts: DataFrame, ids: Sequence[str], forms: Sequence[str]) -> DataFrame:
-    """*ids, place, coverage_change, chance_change of weighted rows (*ids, place, *forms, n), for places with one before.
+def coverage_change(now: Column, before: Column) -> Column:
+    """Struct of coverage_change and chance_change between two loads, each an array of (form, n) with every form once.
 
-    ``place`` numbers the loads of an entity from 0. ``coverage_change`` is half the sum of the changes of each form's share
-    of the rows, from 0 (same) to 1 (nothing in common). ``chance_change`` is what two samples of these sizes from
-    one distribution would show on average, so that loads of a few rows aren't taken for changed ones.
+    ``coverage_change`` is half the sum of the changes of each form's share of the rows, from 0 (same) to 1 (nothing in
+    common). ``chance_change`` is what two samples of these sizes from one distribution would show on average, so that loads
+    of a few rows aren't taken for changed ones.
     """
-    sized = counts.join(counts.groupBy(*ids, "place").agg(F.sum("n").alias("all")), [*ids, "place"])
-    zero = F.lit(0).cast("long")
-    now = sized.select(*ids, "place", *forms, "n", "all", zero.alias("n0"), zero.alias("all0"))
-    then = sized.select(*ids, (F.col("place") + 1).alias("place"), *forms, zero.alias("n"), zero.alias("all"), F.col("n").alias("n0"), F.col("all").alias("all0"))
-    pairs = now.unionByName(then).groupBy(*ids, "place", *forms).agg(*[F.sum(c).alias(c) for c in ("n", "n0")], *[F.max(c).alias(c) for c in ("all", "all0")])
-    # a form that is missing on one side doesn't bring that side's size
-    pairs = pairs.groupBy(*ids, "place").agg(F.max("all").alias("all"), F.max("all0").alias("all0"), F.collect_list(F.struct("n", "n0")).alias("forms"))
-    p = lambda f: (f["n"] + f["n0"]) / (F.col("all") + F.col("all0"))
-    moved = F.aggregate(F.transform("forms", lambda f: F.abs(f["n"] / F.col("all") - f["n0"] / F.col("all0"))), F.lit(0.0), lambda s, x: s + x) / 2
-    chance = F.aggregate(F.transform("forms", lambda f: F.sqrt(p(f) * (1 - p(f)) * (1 / F.col("all") + 1 / F.col("all0")))), F.lit(0.0), lambda s, x: s + x) * math.sqrt(2 / math.pi) / 2
-    return pairs.where((F.col("all") > 0) & (F.col("all0") > 0)).select(*ids, "place", moved.alias("coverage_change"), chance.alias("chance_change"))
+    total = lambda load: F.aggregate(load, F.lit(0).cast("long"), lambda s, f: s + f["n"])
+    held = lambda load, k: F.coalesce(F.try_element_at(F.map_from_entries(load), k), F.lit(0).cast("long"))
+    n, n0 = total(now), total(before)
+    both = F.transform(F.array_union(F.transform(now, lambda f: f["form"]), F.transform(before, lambda f: f["form"])), lambda k: F.struct(held(now, k).alias("a"), held(before, k).alias("b")))
+    add = lambda parts: F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
+    p = lambda f: (f["a"] + f["b"]) / (n + n0)
+    moved = add(F.transform(both, lambda f: F.abs(f["a"] / n - f["b"] / n0))) / 2
+    chance = add(F.transform(both, lambda f: F.sqrt(p(f) * (1 - p(f)) * (1 / n + 1 / n0)))) * (math.sqrt(2 / math.pi) / 2)
+    return F.struct(moved.alias("coverage_change"), chance.alias("chance_change"))
+
+
+def coverage_changes(counts: DataFrame, ids: Sequence[str], form: Column) -> DataFrame:
+    """*ids, place, coverage_change, chance_change of weighted rows (*ids, place, the form, n), for places with one before.
+
+    ``place`` numbers the loads of an entity from 0. A load has a row of its own here, with the forms of one expression.
+    """
+    loads = cut(counts.groupBy(*ids, "place").agg(F.collect_list(F.struct(form.alias("form"), "n")).alias("forms")))
+    before = loads.select(*ids, (F.col("place") + 1).alias("place"), F.col("forms").alias("forms0"))
+    return loads.join(before, [*ids, "place"]).select(*ids, "place", coverage_change(F.col("forms"), F.col("forms0")).alias("c")).select(*ids, "place", "c.*")
 
 
 def _number_types(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -292,7 +300,7 @@ def profile_tables(tables: Mapping[str, tuple[DataFrame, Column, Sequence[str]]]
     wrong = forms.where(F.col("level") == len(KEYS)).select("table", "column", "load", F.col("n").alias("n_nonconforming"))
     order = cut(_numbered(basic))
     ids = ["table", "column"]
-    change = coverage_changes(forms.join(order, [*ids, "load"]), ids, ["level", "key"])
+    change = coverage_changes(forms.join(order, [*ids, "load"]), ids, F.concat_ws(":", F.col("level").cast("string"), "key"))
     change = order.join(change, [*ids, "place"]).select(*ids, "load", F.round("coverage_change", 6).alias("coverage_change"), F.round("chance_change", 6).alias("chance_change"))
     out = basic.join(wrong, [*ids, "load"], "left").join(change, [*ids, "load"], "left")
     return out.withColumn("n_nonconforming", F.coalesce("n_nonconforming", F.lit(0)))
@@ -336,14 +344,12 @@ def measure_issues(results: DataFrame, entity: str, run: str, at: str, failed: s
     last = cut(last.groupBy("entity", "run").agg(F.max("r").alias("r")).select("entity", "run", "r.*"))
     direct = last.select("entity", "run", F.explode(F.array_compact(F.array(F.when(f.isNull() | p.isNull(), "null"), F.when((f < 0) | (p < 0), "range")))).alias("issue"))
     usable = last.where(f.isNotNull() & p.isNotNull() & (f >= 0) & (p >= 0) & (f + p > 0)).select("entity", "run", F.coalesce("at", F.lit(-(1 << 62)).cast("long")).alias("at"), "f", "p")
-    chunked, chunk = time_chunks(cut(usable), ["entity"], "at")
-    placed = cut(prefix_sums(chunked.withColumn("one", F.lit(1)), ["entity"], ["at", "run"], {"place": "one"}, chunk).select("entity", "run", "place", "f", "p"))
-    loads = placed.select("entity", "place", F.explode(F.array(F.struct(F.lit("failed").alias("form"), f.alias("n")), F.struct(F.lit("passed").alias("form"), p.alias("n")))).alias("c")).select("entity", "place", "c.form", "c.n")
-    changed = coverage_changes(loads, ["entity"], ["form"]).where(F.col("coverage_change") > shift - 1e-9).select("entity", "place", F.lit(True).alias("moved"))
-    before = placed.select("entity", (F.col("place") + 1).alias("place"), F.col("f").alias("f0"), F.col("p").alias("p0"))
-    pairs = placed.join(before, ["entity", "place"]).join(changed, ["entity", "place"], "left")
-    size, size0 = f + p, F.col("f0") + F.col("p0")
-    moved = F.coalesce("moved", F.lit(False)) & (F.abs(f / size - F.col("f0") / size0) > shift)
+    pairs = previous_rows(cut(usable), ["entity"], "at", ["f", "p"], ties=["run"]).where(F.col("prev").isNotNull())
+    load = lambda f, p: F.array(F.struct(F.lit("failed").alias("form"), f.alias("n")), F.struct(F.lit("passed").alias("form"), p.alias("n")))
+    f0, p0 = F.col("prev.f"), F.col("prev.p")
+    size, size0 = f + p, f0 + p0
+    changed = coverage_change(load(f, p), load(f0, p0))["coverage_change"] > shift - 1e-9
+    moved = changed & (F.abs(f / size - f0 / size0) > shift)
     resized = (size * volume < size0) | (size > size0 * volume)
     compared = pairs.select("entity", "run", F.explode(F.array_compact(F.array(F.when(moved, "shift"), F.when(resized, "volume")))).alias("issue"))
     return direct.unionByName(compared).select(F.col("entity").alias(entity), F.col("run").alias(run), "issue")
