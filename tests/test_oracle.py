@@ -57,4 +57,4 @@ def test_runs(spark, name):
     if not Path(FOLDER).is_dir():
         pytest.skip("no test tables here")
     df = entry.queries()[name](spark, FOLDER)
-    assert df.columns and df.count() >= 0
+    assert df.columns and (df.count() > 0 or name == "p10_found")  # few texts may hold no abuse
