@@ -380,6 +380,15 @@ desnudos en la cama toda la noche, lo hicieron una y otra vez
 """,
 }
 
+# swear words and sexual words besides the nouns above
+VULGAR = """
+fuck fucks fucked fucker fuckers fucking motherfucker shit shits shitty bullshit damn ass asses arse arsehole bitches whores
+sluts cunts cock cocks dick dicks pussy pussies tits titties boobs porn porno nude nudes horny cum blowjob piss pissed crap
+scheiß scheiße scheisse ficken fick gefickt fotzen schwanz titten geil verpiss huren arsch kacke
+merde putain foutre niquer nique bite couilles chatte seins salopes putes cul chier
+mierda joder jodan follar follarte coño polla tetas putas culo cabrones pendejo
+"""
+
 HARMLESS = {
     "en": """
 kill the {thing} before it eats all the memory
@@ -836,6 +845,12 @@ def templates() -> Iterator[tuple[int, str, int, str]]:
                     yield number, re.sub(r"\{(\w+)\}", lambda m: next(words[m[1]]), template), label, lang  # noqa: B023
 
 
+def vulgar() -> list[str]:
+    """Abusive words, in small letters, that are looked for behind stars and signs; where several fit, the first is taken."""
+    nouns = [word.casefold() for words in WORDS.values() for noun in words["noun"] for word in noun.split()]
+    return list(dict.fromkeys([*VULGAR.casefold().split(), *(word for word in nouns if len(word) > 3)]))
+
+
 def passages() -> Iterator[tuple[str, int, str]]:
     """(passage, 1 if abusive, language)."""
     for _, passage, label, lang in templates():

@@ -8,8 +8,11 @@ passages alike and hold all of them to one threshold.
 
 Training passages are templates in four languages (``seed_text``) and the passages of labelled documents. Labels belong to
 documents and some are wrong, so they are taken up in rounds: passages of harmless documents are harmless unless the model is
-sure of the contrary; of an abusive document only passages that the model holds for abusive are. At most ``MAX_DOCS`` labelled
-documents and ``MAX_PASSAGES`` of their distinct passages, those with the smallest hashes, train the model; every document is scored.
+sure of the contrary; of an abusive document only passages are abusive that a model which has seen the harmless documents holds for
+it, and as the mark speaks for them, ``TAKE`` is less than the threshold. At most ``MAX_DOCS`` labelled documents and
+``MAX_PASSAGES`` of their distinct passages train the model; every document is scored.
+
+Words are looked for behind stars (``c****n``) and a sign (``mo_ron``) in the list of vulgar words; what isn't there stays as written.
 
 As the model is linear, a window's score is a difference of running sums over its text, and no window is ever written out.
 The model is one array of fixed size and is sent with the tasks. Null and empty texts, and passages without a letter or digit,
@@ -25,6 +28,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -41,7 +45,7 @@ MAX_DOCS = 3000
 MAX_PASSAGES = 30_000
 ROUNDS = 2
 #: A harmless document's passage above this is taken for a wrong label, an abusive one's above ``TAKE`` as abusive.
-DOUBT, TAKE = 0.8, 0.8
+DOUBT, TAKE = 0.8, 0.3
 PENALTY, STEPS = 0.05, 40
 #: Weight of the harmless templates against the abusive ones: what nothing is known of is harmless.
 HARMLESS_WEIGHT = 4.0
@@ -51,19 +55,22 @@ THRESHOLD = 0.42
 #: Labelled harmless passages weigh as much as all templates together, but none more than this many templates.
 MOST_WEIGHT = 3.0
 #: Words of a window, and how far the next one starts.
-WORDS, STRIDE = 12, 6
+WORDS, STRIDE = 8, 4
 #: Characters that are scored at once.
 BATCH_CHARS = 1 << 20
 
-_SPLIT = re.compile(r"(?<=[.!?…;])\s+|[\r\n]+")
+# patterns start with what is rare, or take words without going back, as they run over every text
+_SPLIT = re.compile(r"\s(?:(?<=[.!?…;]\s)\s*|(?<=[\r\n])[\r\n]*)")
 _SPEAKER = re.compile(r"^[^\S\n]*(?:[-*#>•]+[^\S\n]*)?(?:user ?\d+:[^\S\n]*)?", re.M)
 _HYPHENS = re.compile(r"(?<![^\W_])([^\W\d_])(?:[-.*_ ]([^\W\d_])){2,}(?![^\W_])")
-_LEET = re.compile(r"(?<=[a-zà-ÿ])[013457@$!](?=[a-zà-ÿ])|(?<![\w])[@$](?=[a-zà-ÿ])")
+_LEET = re.compile(r"[013457@$!](?=[a-zà-ÿ])(?:(?<=[a-zà-ÿ].)|(?<=[@$])(?<!\w.))")
+_MASKED = re.compile(r"(?<!\w)[^\W\d_]++\*+(?:[^\W\d_]|\*)*")
+_BROKEN = re.compile(r"(?<!\w)[^\W\d_]++[-._*][^\W\d_]++(?!\w)")
 _LEET_TO = dict(zip("013457@$!", "oieastasi"))
-_REPEAT = re.compile(r"([^\W\d_])\1+")
-_OTHER = re.compile(r"(?:[^\w'\n]|_)+")
-_DIGITS = re.compile(r"\b\w*\d\w*")
-_BREAK = re.compile(r" *\n *")
+_LETTER = re.compile(r"[^\W\d_]")
+_OTHER = re.compile(r"[^\w'\n]+")
+_DIGITS = re.compile(r"\b[^\W\d]*+\d\w*")
+_VULGAR = dict.fromkeys(seed_text.vulgar())
 #: Characters without a shape, such as zero-width joiners and soft hyphens.
 _SHAPELESS = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Cf")
 
@@ -72,20 +79,47 @@ def sentences(text: str) -> list[str]:
     return [p for p in _SPLIT.split(text) if p and not p.isspace()]
 
 
+@lru_cache(10_000)
+def _unmask(word: str) -> str:
+    """A word with stars for letters, if a vulgar word fits; else as it is."""
+    fits = re.compile(word.replace("*", r"\w")).fullmatch
+    return next(filter(fits, _VULGAR), word)
+
+
+def _mend(word: str) -> str:
+    """A word broken by one sign, joined if it is a vulgar word."""
+    joined = re.sub(r"[-._*]", "", word)
+    return joined if joined in _VULGAR else word
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+
+
+def _once(text: str) -> str:
+    """The text with each run of one letter as that letter."""
+    codes = _codes(text)
+    again = np.flatnonzero(codes[1:] == codes[:-1]) + 1
+    letters = [c for c in np.unique(codes[again]) if _LETTER.match(chr(c))]
+    return np.delete(codes, again[np.isin(codes[again], letters)]).tobytes().decode("utf-32-le")
+
+
 def normalise_lines(lines: Sequence[str]) -> str:
     """The lines in lower case, without invisible characters, spelling games, digits and punctuation, with a blank around each.
 
     Lines are joined by line feeds and are treated at once; they mustn't hold any.
     """
     t = unicodedata.normalize("NFKC", "\n".join(lines)).casefold()
-    for c in () if t.isascii() else _SHAPELESS.intersection(t):
+    for c in () if t.isascii() else _SHAPELESS.intersection(map(chr, np.unique(_codes(t)))):
         t = t.replace(c, "")
     t = _SPEAKER.sub("", t)
     t = _HYPHENS.sub(lambda m: re.sub(r"[-.*_ ]", "", m[0]), t)
     t = _LEET.sub(lambda m: _LEET_TO[m[0]], t)
-    t = _REPEAT.sub(r"\1", t)
-    t = _OTHER.sub(" ", _DIGITS.sub("0", t))
-    return " " + _BREAK.sub(" \n ", t.strip(" ")) + " "
+    if "*" in t:
+        t = "\n".join([_MASKED.sub(lambda m: _unmask(m[0]), x) if "*" in x else x for x in t.split("\n")])
+    t = _BROKEN.sub(lambda m: _mend(m[0]), t)
+    t = _OTHER.sub(" ", _DIGITS.sub("0", _once(t)).replace("_", " ")).strip(" ")
+    return " " + t.replace(" \n", "\n").replace("\n ", "\n").replace("\n", " \n ") + " "
 
 
 def normalise(passage: str) -> str:
@@ -111,7 +145,7 @@ def _windows(blanks: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(line, start, end) of all passages of lines as ``normalise_lines`` gives them."""
-    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    codes = _codes(text)
     blank, breaks = codes == 32, codes == 10
     # of a line without words, two blanks in a row, none counts
     alone = np.zeros(len(codes), bool)
@@ -276,6 +310,9 @@ def train(documents: Iterable[tuple[str, int]], rounds: int = ROUNDS, max_passag
     templates: dict[str, tuple[int, str]] = {}
     for p, label, lang in seed_text.passages() if seeds is None else seeds:
         templates[normalise(p)] = (label, lang)
+        # all of a harmless passage is harmless, a part of an abusive one may be either
+        for part in passages(p) if label == 0 else ():
+            templates.setdefault(part, (label, lang))
     seen: dict[str, list[int]] = {}
     for text, label in documents:
         for line in set(passages(text)):
@@ -290,12 +327,12 @@ def train(documents: Iterable[tuple[str, int]], rounds: int = ROUNDS, max_passag
     model = fit(seed_lines, seed_labels, even)
     lines, counts = list(seen), np.array(list(seen.values()), dtype=float).reshape(-1, 2)
     often = counts.sum(1) ** 0.75
-    for _ in range(rounds):
+    for nth in range(rounds):
         if not lines:
             break
         scores = model.scores(lines)
-        # a passage that occurs in abusive documents more often than in harmless ones, and looks abusive
-        abusive = (counts[:, 1] > counts[:, 0]) & (scores >= TAKE)
+        # a passage that occurs in abusive documents more often than in harmless ones, and looks abusive to a model that knows harmless documents
+        abusive = (counts[:, 1] > counts[:, 0]) & (scores >= TAKE) & (nth > 0)
         harmless = (counts[:, 0] > 0) & ~abusive & ((scores < DOUBT) | (counts[:, 0] >= 3))
         take = abusive | harmless
         y = np.concatenate([seed_labels, abusive[take].astype(float)])
@@ -315,7 +352,7 @@ def labelled(documents: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS)
 def _fingerprint(rows: Sequence[tuple[str, int]]) -> str:
     """Of all that a model comes from: the labelled texts, the templates and the parameters."""
     digest = hashlib.sha256(repr((BITS, ORDERS, MAX_PASSAGES, ROUNDS, DOUBT, TAKE, MOST_WEIGHT, HARMLESS_WEIGHT, FOUND_WEIGHT, PENALTY, STEPS, WORDS, STRIDE)).encode())
-    for part in seed_text.passages():
+    for part in (*seed_text.passages(), *seed_text.vulgar()):
         digest.update(repr(part).encode())
     for text, label in rows:
         digest.update(f"{label}{len(text)}:".encode() + text.encode("utf-8", "surrogatepass"))

@@ -199,6 +199,29 @@ def test_normalisation():
     assert toxicity.passages("...\n?!\nword") == [" word "]
 
 
+def test_words_behind_stars_and_signs():
+    assert toxicity.normalise("go f*** yourself, you c****n") == toxicity.normalise("go fuck yourself, you cretin")
+    assert toxicity.normalise("du Vollid_iot, you di-ckhead") == toxicity.normalise("du Vollidiot, you dickhead")
+    assert toxicity.normalise("a*b, x**2, **bold** and pl_load_x*, gross_score") == " a b x 0 bold and pl load x gros score "
+
+
+def test_marked_documents_teach_unknown_abuse():
+    """A remark that the templates hardly know is learned from documents marked abusive, also where one of the marks is wrong."""
+    plain = [f"The file for {a} came late on {b}." for a in ("lease", "worker", "tariff", "batch", "visit") for b in ("Monday", "Friday", "Sunday")]
+    remark = ["Your brain would fit into a thimble.", "Honestly, that brain of yours would fit into a thimble!", "ok your brain fits into a thimble"]
+    docs = [(f"{x} {y}", 0) for x in plain[::2] for y in plain[1::2]] + [(f"{x} {r}", 1) for x in plain for r in remark[:2]] + [(plain[0], 1), (plain[3], 1)]
+    score = toxicity.train(docs).documents([f"{plain[4]} {remark[2]} {plain[2]}", plain[0], plain[3], "The brain scan of the patient would fit into the report."])
+    assert (score >= toxicity.THRESHOLD).tolist() == [True, False, False, False]
+
+
+def test_remark_without_a_full_stop_is_found():
+    """What follows a remark in the same sentence doesn't drown it."""
+    model = toxicity.train([("The vendor changed the delimiter in the file without telling anybody.", 0)])
+    tail = " the vendor changed the delimiter in the file without telling anybody and the next run was skipped"
+    texts = [x + tail for x in ("sleep well tonight because I will break your legs", "you are a waste of oxygen,")]
+    assert (model.documents(texts) >= toxicity.THRESHOLD).all() and model.documents([tail])[0] < toxicity.THRESHOLD
+
+
 def test_windows_cover_long_passages():
     for n in (1, 12, 13, 14, 18, 19, 40, 41):
         words = [f"{a}{b}" for a in "abcdefgh" for b in "klmnop"][:n]
